@@ -1,0 +1,5 @@
+"""No streaming jobs.
+
+Source months arrive as whole files and are restated as whole files, so late data is a
+batch rewrite of a month (see ``curbline.plans.detect``), not a stream.
+"""
