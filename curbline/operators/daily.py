@@ -158,11 +158,15 @@ def zone_day(
     return curated_rows(daily_stats(flagged, rules, by), middle, zones, by)
 
 
+def count_columns(stats: DataFrame) -> list[str]:
+    """The row counts among the statistics; sums of measurements stay with their group."""
+    whole = ("input", "published", "reversed", "rejected")
+    return [c for c in stats.columns if c in whole or c.startswith(("r_", "x_"))]
+
+
 def run_metrics(stats: DataFrame, by: Sequence[str] = ("source_month",)) -> DataFrame:
     """Row metrics per run, from the statistics per day and zone."""
     kept = F.col("published") + F.col("reversed") > 0
-    skip = {*by, *GROUP}
     return stats.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in stats.columns if c not in skip],
-        F.count_if(kept).alias("output"),
+        *[F.sum(c).alias(c) for c in count_columns(stats)], F.count_if(kept).alias("output")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..config import Thresholds
 from ..functions.scalars import change, ratio
@@ -10,13 +10,21 @@ from ..functions.scalars import change, ratio
 MONTH = "source_month"
 
 
+def _with_previous(metrics: DataFrame) -> DataFrame:
+    """Adds the input of the calendar month before; null when that month is not there.
+
+    One row per month, so one window over all of them is small.
+    """
+    order = W.partitionBy().orderBy(MONTH)
+    adjacent = F.lag(MONTH).over(order) == F.add_months(MONTH, -1)
+    return metrics.withColumn("previous_input", F.when(adjacent, F.lag("input").over(order)))
+
+
 def volume_delta(metrics: DataFrame) -> DataFrame:
     """Input rows of each month against the calendar month before it."""
-    before = metrics.select(
-        F.add_months(MONTH, 1).alias(MONTH), F.col("input").alias("previous_input")
-    )
-    return metrics.select(MONTH, "input").join(before, MONTH, "left").withColumn(
-        "volume_delta", change(F.col("input"), F.col("previous_input"))
+    return _with_previous(metrics).select(
+        MONTH, "input", "previous_input",
+        change(F.col("input"), F.col("previous_input")).alias("volume_delta"),
     )
 
 
@@ -33,26 +41,23 @@ def gate_results(
     volume gate prefers the previous month of this batch and falls back to them. A month
     without any predecessor skips the volume gate.
     """
-    wanted = metrics.select(MONTH) if months is None else months.select(MONTH)
-    volume = volume_delta(metrics).select(MONTH, "previous_input")
+    rows = _with_previous(metrics)
     if history is not None:
         known = history.select(F.add_months(MONTH, 1).alias(MONTH), F.col("input").alias("known"))
-        volume = volume.join(known, MONTH, "left").select(
-            MONTH, F.coalesce("previous_input", "known").alias("previous_input")
+        rows = rows.join(known, MONTH, "left").withColumn(
+            "previous_input", F.coalesce("previous_input", "known")
         )
+    if months is not None:
+        rows = months.select(MONTH).join(rows, MONTH, "left")
     c = F.col
-    measured = (
-        wanted.join(metrics, MONTH, "left")
-        .join(volume, MONTH, "left")
-        .select(
-            MONTH,
-            F.coalesce("input", F.lit(0)).alias("input"),
-            ratio(c("rejected"), c("input")).alias("reject_ratio"),
-            ratio(c("reversed"), c("input")).alias("reversal_ratio"),
-            ratio(c("x_trip_distance"), c("input")).alias("null_distance_ratio"),
-            ratio(c("x_duration_min"), c("input")).alias("null_duration_ratio"),
-            change(c("input"), c("previous_input")).alias("volume_delta"),
-        )
+    measured = rows.select(
+        MONTH,
+        F.coalesce("input", F.lit(0)).alias("input"),
+        ratio(c("rejected"), c("input")).alias("reject_ratio"),
+        ratio(c("reversed"), c("input")).alias("reversal_ratio"),
+        ratio(c("x_trip_distance"), c("input")).alias("null_distance_ratio"),
+        ratio(c("x_duration_min"), c("input")).alias("null_duration_ratio"),
+        change(c("input"), c("previous_input")).alias("volume_delta"),
     )
     failed = (
         F.when(c("input") == 0, "no_rows")

@@ -79,8 +79,11 @@ def peak_day(day_slices: DataFrame) -> DataFrame:
     return days.groupBy(MONTH, "metric").agg(peak.alias("p")).select(MONTH, "metric", "p.*")
 
 
-def mean_vs_median(zone_slices: DataFrame, medians: DataFrame, top: int = BUSIEST) -> DataFrame:
-    """The busiest zones of a month with mean, median and coverage side by side."""
+def mean_vs_median(zone_slices: DataFrame, top: int = BUSIEST) -> DataFrame:
+    """The busiest zones of a month with mean, median and coverage side by side.
+
+    ``zone_slices`` carries the medians.
+    """
     order = W.partitionBy(MONTH).orderBy(F.desc("trips"), F.asc("location_id"))
     busiest = zone_slices.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= top
@@ -90,18 +93,13 @@ def mean_vs_median(zone_slices: DataFrame, medians: DataFrame, top: int = BUSIES
         "coverage_dist": ratio(c("dist_obs"), c("trips")),
         "coverage_dur": ratio(c("dur_obs"), c("trips")),
     }
-    both = medians.select(MONTH, "location_id", "median_dist", "median_dur")
-    return (
-        busiest.withColumns(covered)
-        .join(both, [MONTH, "location_id"], "left")
-        .select(
-            MONTH, "rank", "location_id", "zone", "borough", "trips",
-            ratio(c("dist_sum"), c("dist_obs")).alias("avg_distance_mi"), "median_dist",
-            "coverage_dist", (c("coverage_dist") < LOW_COVERAGE).alias("low_dist"),
-            ratio(c("dur_sum"), c("dur_obs")).alias("avg_duration_min"), "median_dur",
-            "coverage_dur", (c("coverage_dur") < LOW_COVERAGE).alias("low_dur"),
-            ratio(c("fare_sum"), c("fare_obs")).alias("avg_fare_usd"),
-        )
+    return busiest.withColumns(covered).select(
+        MONTH, "rank", "location_id", "zone", "borough", "trips",
+        ratio(c("dist_sum"), c("dist_obs")).alias("avg_distance_mi"), "median_dist",
+        "coverage_dist", (c("coverage_dist") < LOW_COVERAGE).alias("low_dist"),
+        ratio(c("dur_sum"), c("dur_obs")).alias("avg_duration_min"), "median_dur",
+        "coverage_dur", (c("coverage_dur") < LOW_COVERAGE).alias("low_dur"),
+        ratio(c("fare_sum"), c("fare_obs")).alias("avg_fare_usd"),
     )
 
 

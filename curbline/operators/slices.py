@@ -43,9 +43,17 @@ def add_up(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return slices.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
-def zone_slices(curated: DataFrame) -> DataFrame:
+def daily_medians() -> list[Column]:
+    """Medians of daily medians; a zone's month holds at most one row per day."""
+    return [
+        round_half(F.median("median_distance_mi"), 2).alias("median_dist"),
+        round_half(F.median("median_duration_min"), 2).alias("median_dur"),
+    ]
+
+
+def zone_slices(curated: DataFrame, medians: bool = False) -> DataFrame:
     """One unrounded slice per month and zone."""
-    return curated.groupBy(MONTH, *ZONE).agg(*additive())
+    return curated.groupBy(MONTH, *ZONE).agg(*additive(), *(daily_medians() if medians else []))
 
 
 def day_slices(curated: DataFrame) -> DataFrame:
@@ -70,11 +78,7 @@ def daily_series(curated: DataFrame) -> DataFrame:
 
 
 def zone_month_median(curated: DataFrame) -> DataFrame:
-    """Median of the daily medians: a group holds at most one row per day of its month."""
-    return curated.groupBy(MONTH, *ZONE).agg(
-        round_half(F.median("median_distance_mi"), 2).alias("median_dist"),
-        round_half(F.median("median_duration_min"), 2).alias("median_dur"),
-    )
+    return curated.groupBy(MONTH, *ZONE).agg(*daily_medians())
 
 
 def zone_index(curated: DataFrame) -> DataFrame:
@@ -83,29 +87,22 @@ def zone_index(curated: DataFrame) -> DataFrame:
     return totals.orderBy(F.desc("trips"), F.asc_nulls_first("location_id"))
 
 
-def zone_month_dense(curated: DataFrame) -> DataFrame:
+def zone_month_dense(zone_slices: DataFrame) -> DataFrame:
     """Every zone in every month: absent sums are zero, absent medians stay null.
 
-    The month list is one scalar value exploded per zone, so no two tables are crossed.
+    ``zone_slices`` carries the medians. The month list is one scalar value exploded per zone,
+    so no two tables are crossed. Zone names may be null and then match null.
     """
-    sums = zone_month(curated).join(
-        _renamed(zone_month_median(curated)), _same_zone("s_"), "left"
-    ).drop(*[f"s_{c}" for c in (MONTH, *ZONE)])
-    months = curated.agg(F.array_sort(F.collect_set(MONTH))).scalar()
-    index = curated.select(*ZONE).distinct().withColumn(MONTH, F.explode(months))
-    dense = index.join(_renamed(sums), _same_zone("s_"), "left")
-    filled = {c: F.coalesce(F.col(f"s_{c}"), F.lit(0)).alias(c) for c in SUMS}
-    medians = [F.col(f"s_{c}").alias(c) for c in ("median_dist", "median_dur")]
-    return dense.select(MONTH, *ZONE, *filled.values(), *medians)
-
-
-def _renamed(df: DataFrame) -> DataFrame:
-    return df.select([F.col(c).alias(f"s_{c}") for c in df.columns])
-
-
-def _same_zone(prefix: str) -> list[Column]:
-    """Month and zone equal; names of a zone missing from the dimension are null on both sides."""
-    return [F.col(c).eqNullSafe(F.col(prefix + c)) for c in (MONTH, *ZONE)]
+    months = zone_slices.agg(F.array_sort(F.collect_set(MONTH))).scalar()
+    index = zone_slices.select(*ZONE).distinct().withColumn(MONTH, F.explode(months))
+    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (MONTH, *ZONE)]
+    dense = index.alias("i").join(reported(zone_slices).alias("s"), same, "left")
+    return dense.select(
+        *[f"i.{c}" for c in (MONTH, *ZONE)],
+        *[F.coalesce(f"s.{c}", F.lit(0)).alias(c) for c in SUMS],
+        "s.median_dist",
+        "s.median_dur",
+    )
 
 
 def month_totals(curated: DataFrame) -> DataFrame:
