@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 # Measurements and money are summed as whole ten-thousandths in a BIGINT: integer addition
@@ -10,8 +12,9 @@ from pyspark.sql import Column, functions as F
 UNITS = 10_000
 
 
-def to_units(x: Column) -> Column:
-    return F.rint(x * F.lit(float(UNITS))).cast("bigint")
+def to_units(x: str) -> str:
+    """SQL for an amount in whole ten-thousandths."""
+    return f"CAST(rint(({x}) * {UNITS}.0D) AS BIGINT)"
 
 
 def from_units(x: Column) -> Column:
@@ -58,9 +61,15 @@ def is_weekend(day: Column) -> Column:
 def duration_seconds(pickup: Column, dropoff: Column) -> Column:
     """Whole seconds between two wall-clock times, truncated toward zero.
 
-    On TIMESTAMP_NTZ this ignores daylight saving, whatever the session time zone is.
+    Both must be TIMESTAMP_NTZ; their difference then ignores daylight saving, whatever the
+    session time zone is.
     """
-    return F.timestamp_diff("SECOND", pickup, dropoff)
+    return (dropoff - pickup).cast("bigint")
+
+
+def wall_clock(moment: datetime) -> Column:
+    """A naive Python time as it reads; a plain literal would be shifted into the session zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def month_label(month: Column) -> Column:

@@ -9,24 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalars import from_units, ratio, round_half, to_units
 from .contract import CURATED, unique_dimension
 from .order_stats import MAX_DISTINCT, MEDIAN_POSITIONS, median_of, order_statistics
-from .rules import Rule, any_flag, flag_rows, is_published, is_reversal, nulling_flags
+from .rules import PUBLISHED, Rule, any_flag, flag_rows, nulling_flags, reversal, trusted
 
 GROUP = ["date", "location_id"]
 
 
-def _trusted(column: str, rules: Sequence[Rule]) -> Column:
-    """The column, nulled where a rule says so."""
-    flags = nulling_flags(rules).get(column)
-    if not flags:
-        return F.col(column)
-    return F.when(any_flag(flags), F.lit(None)).otherwise(F.col(column))
-
-
 def _keyed(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return flagged.withColumns(
         {
-            "date": F.to_date(_trusted("tpep_pickup_datetime", rules)),
-            "location_id": _trusted("PULocationID", rules).cast("int"),
+            "date": F.expr(f"to_date({trusted('tpep_pickup_datetime', rules)})"),
+            "location_id": F.expr(f"cast({trusted('PULocationID', rules)} AS int)"),
         }
     )
 
@@ -37,28 +29,35 @@ def row_stats(flagged: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) ->
     Only integers are summed, so partial sums combine map-side and the result does not
     depend on how the rows were split.
     """
-    published, reversal = is_published(), is_reversal(rules)
-    miles = F.when(published, _trusted("trip_distance", rules))
-    minutes = F.when(published, _trusted("duration_min", rules))
-    seconds = F.when(minutes.isNotNull(), F.col("duration_s"))
-    fare = F.when(published, _trusted("fare_amount", rules))
-    total = _trusted("total_amount", rules)
-    return flagged.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("input"),
-        F.count_if(published).alias("published"),
-        F.count_if(reversal).alias("reversed"),
-        F.count_if(~published & ~reversal).alias("rejected"),
-        *[F.count_if(F.col(r.flag)).alias(f"r_{r.name}") for r in rules],
-        *[F.count_if(any_flag(f)).alias(f"x_{c}") for c, f in nulling_flags(rules).items()],
-        F.count(miles).alias("distance_obs"),
-        F.sum(to_units(miles)).alias("distance_units"),
-        F.count(minutes).alias("duration_obs"),
-        F.sum(seconds).alias("duration_s"),
-        F.count(fare).alias("fare_obs"),
-        F.sum(to_units(fare)).alias("fare_units"),
-        F.sum(to_units(F.when(published, total))).alias("revenue_units"),
-        F.sum(to_units(F.when(reversal, total))).alias("refund_units"),
+    cancels = reversal(rules)
+
+    def published(column: str) -> str:
+        return f"CASE WHEN {PUBLISHED} THEN {trusted(column, rules)} END"
+
+    def units(x: str) -> str:
+        return f"sum({to_units(x)})"
+
+    miles, minutes, fare = (
+        published(c) for c in ("trip_distance", "duration_min", "fare_amount")
     )
+    total = trusted("total_amount", rules)
+    measures = {
+        "input": "count(1)",
+        "published": f"count_if({PUBLISHED})",
+        "reversed": f"count_if({cancels})",
+        "rejected": f"count_if(NOT ({PUBLISHED}) AND NOT {cancels})",
+        **{f"r_{r.name}": f"count_if({r.flag})" for r in rules},
+        **{f"x_{c}": f"count_if({any_flag(f)})" for c, f in nulling_flags(rules).items()},
+        "distance_obs": f"count({miles})",
+        "distance_units": units(miles),
+        "duration_obs": f"count({minutes})",
+        "duration_s": f"sum(CASE WHEN {minutes} IS NOT NULL THEN duration_s END)",
+        "fare_obs": f"count({fare})",
+        "fare_units": units(fare),
+        "revenue_units": units(published("total_amount")),
+        "refund_units": units(f"CASE WHEN {cancels} THEN {total} END"),
+    }
+    return flagged.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in measures.items()])
 
 
 def daily_stats(flagged: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ("source_month",)):
@@ -74,23 +73,20 @@ def daily_medians(
 ) -> DataFrame:
     """Exact medians of distance and duration over the published rows."""
     keys = [*by, *GROUP]
-    miles, minutes = _trusted("trip_distance", rules), _trusted("duration_min", rules)
+    miles, minutes = trusted("trip_distance", rules), trusted("duration_min", rules)
     values = (
-        _keyed(flagged.filter(is_published()), rules)
-        .withColumns({"_miles": miles, "_minutes": minutes})
-        .select(*keys, F.expr("stack(2, 'distance', _miles, 'duration', _minutes) as (measure, value)"))
-        .where("value is not null")
+        _keyed(flagged.filter(PUBLISHED), rules)
+        .selectExpr(*keys, f"stack(2, 0, {miles}, 1, {minutes}) AS (measure, value)")
+        .where("value IS NOT NULL")
     )
     found = order_statistics(
         values, [*keys, "measure"], "value", MEDIAN_POSITIONS, row_bound, max_distinct
     ).withColumn("median", median_of(F.col("p0"), F.col("p1")))
 
-    def of(measure: str, name: str) -> Column:
+    def of(measure: int, name: str) -> Column:
         return F.max(F.when(F.col("measure") == measure, F.col("median"))).alias(name)
 
-    return found.groupBy(*keys).agg(
-        of("distance", "median_distance"), of("duration", "median_duration")
-    )
+    return found.groupBy(*keys).agg(of(0, "median_distance"), of(1, "median_duration"))
 
 
 def curated_rows(

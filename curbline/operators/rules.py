@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Thresholds
-from ..functions.scalars import duration_seconds, next_month
+from ..functions.scalars import duration_seconds
 from .contract import NEEDED
 
 REJECT = "reject"  # the row is not trusted
@@ -41,22 +39,23 @@ class Rule:
 
 def default_rules(limits: Thresholds = Thresholds()) -> list[Rule]:
     """Rarest first: a row keeps the label of the first row-level rule it breaks."""
-    pickup, month = F.col("tpep_pickup_datetime"), F.col("source_month")
-    miles, minutes = F.col("trip_distance"), F.col("duration_min")
-    fare, total = F.col("fare_amount"), F.col("total_amount")
-    first = month.cast("timestamp_ntz")
-    beyond = next_month(month).cast("timestamp_ntz")
-    speed = F.try_divide(miles, minutes / 60.0)
+    pickup, month = "tpep_pickup_datetime", "source_month"
+    outside = f"{pickup} < {month} OR {pickup} >= add_months({month}, 1)"
+    # below a minute the quotient says nothing, only the distance itself can be judged
+    too_fast = (
+        "duration_min > 1 AND"
+        f" try_divide(trip_distance, duration_min / 60.0D) > {limits.max_speed_mph}D"
+    )
     return [
-        Rule("out_of_month", (pickup < first) | (pickup >= beyond), REJECT),
-        Rule("implausible_distance", miles > limits.max_distance_mi, "trip_distance"),
-        Rule("impossible_speed", (minutes > 1) & (speed > limits.max_speed_mph), "trip_distance"),
-        Rule("duration_over_limit", minutes > limits.max_duration_min, "duration_min"),
-        Rule("nonpositive_duration", minutes <= 0, "duration_min"),
-        Rule("negative_fare", fare < 0, "fare_amount"),
-        Rule("zero_distance", miles <= 0, "trip_distance"),
-        Rule("zero_total", total == 0, OBSERVE),
-        Rule("reversal", total < 0, REVERSAL),
+        Rule("out_of_month", F.expr(outside), REJECT),
+        Rule("implausible_distance", F.expr(f"trip_distance > {limits.max_distance_mi}D"), "trip_distance"),
+        Rule("impossible_speed", F.expr(too_fast), "trip_distance"),
+        Rule("duration_over_limit", F.expr(f"duration_min > {limits.max_duration_min}D"), "duration_min"),
+        Rule("nonpositive_duration", F.expr("duration_min <= 0"), "duration_min"),
+        Rule("negative_fare", F.expr("fare_amount < 0"), "fare_amount"),
+        Rule("zero_distance", F.expr("trip_distance <= 0"), "trip_distance"),
+        Rule("zero_total", F.expr("total_amount = 0"), OBSERVE),
+        Rule("reversal", F.expr("total_amount < 0"), REVERSAL),
     ]
 
 
@@ -79,14 +78,20 @@ def nulling_flags(rules: Sequence[Rule]) -> dict[str, list[str]]:
     return out
 
 
-def any_flag(flags: Sequence[str]) -> Column:
-    return reduce(or_, (F.col(f) for f in flags))
+def any_flag(flags: Sequence[str]) -> str:
+    return "(" + " OR ".join(flags) + ")"
+
+
+def trusted(column: str, rules: Sequence[Rule]) -> str:
+    """SQL for the column, null where a rule says so; a flag that is null does not null it."""
+    flags = nulling_flags(rules).get(column)
+    return f"CASE WHEN {any_flag(flags)} THEN NULL ELSE {column} END" if flags else column
 
 
 def with_duration(trips: DataFrame) -> DataFrame:
     seconds = duration_seconds(F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime"))
     return trips.withColumn("duration_s", seconds).withColumn(
-        "duration_min", F.col("duration_s") / F.lit(60.0)
+        "duration_min", F.expr("duration_s / 60.0D")
     )
 
 
@@ -94,34 +99,26 @@ def flag_rows(trips: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds the duration, one flag per rule (on the original values) and ``reject_reason``."""
     check_rules(rules)
     flagged = with_duration(trips).withColumns({r.flag: r.violated for r in rules})
-    label = [F.when(F.col(r.flag), F.lit(r.name)) for r in rules if r.takes_row]
-    reason = F.coalesce(*label) if label else F.lit(None).cast("string")
-    return flagged.withColumn("reject_reason", reason)
+    labels = " ".join(f"WHEN {r.flag} THEN '{r.name}'" for r in rules if r.takes_row)
+    reason = f"CASE {labels} END" if labels else "CAST(NULL AS STRING)"
+    return flagged.withColumn("reject_reason", F.expr(reason))
 
 
-def is_published() -> Column:
-    return F.col("reject_reason").isNull()
+PUBLISHED = "reject_reason IS NULL"
 
 
-def is_reversal(rules: Sequence[Rule]) -> Column:
-    names = [r.name for r in rules if r.action == REVERSAL]
-    return F.col("reject_reason").isNotNull() & F.col("reject_reason").isin(names)
+def reversal(rules: Sequence[Rule]) -> str:
+    """SQL telling whether the row cancels a trip."""
+    names = ", ".join(f"'{r.name}'" for r in rules if r.action == REVERSAL)
+    return f"(reject_reason IS NOT NULL AND reject_reason IN ({names}))" if names else "false"
 
 
 def excluded_rows(flagged: DataFrame) -> DataFrame:
     """Rows that left the published set, with the values they had and the reason."""
-    return flagged.filter(~is_published()).select("source_month", *NEEDED, "reject_reason")
+    return flagged.filter(f"NOT ({PUBLISHED})").select("source_month", *NEEDED, "reject_reason")
 
 
 def kept_rows(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Published and reversal rows, with untrusted fields nulled.
-
-    A flag that is itself null does not null the field.
-    """
-    kept = flagged.filter(is_published() | is_reversal(rules))
-    return kept.withColumns(
-        {
-            column: F.when(any_flag(flags), F.lit(None)).otherwise(F.col(column))
-            for column, flags in nulling_flags(rules).items()
-        }
-    )
+    """Published and reversal rows, with untrusted fields nulled."""
+    kept = flagged.filter(f"{PUBLISHED} OR {reversal(rules)}")
+    return kept.withColumns({c: F.expr(trusted(c, rules)) for c in nulling_flags(rules)})

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..functions.scalars import duration_seconds, wall_clock
+
 RUN_SCHEMA = """
     run_id STRING, dataset STRING, source_month DATE, written_at TIMESTAMP_NTZ, trigger STRING,
     app_version STRING, git_sha STRING,
@@ -57,10 +61,10 @@ def recent_checks(checks: DataFrame, shown: int = SHOWN) -> DataFrame:
     return checks.withColumn("total", total).orderBy(F.desc("checked_at"), F.desc("check_id")).limit(shown)
 
 
-def stale_checks(checks: DataFrame, now, hours: int = STALE_HOURS) -> DataFrame:
+def stale_checks(checks: DataFrame, now: datetime, hours: int = STALE_HOURS) -> DataFrame:
     """Whether the newest check is older than two daily slots."""
     newest = checks.agg(F.max("checked_at").alias("newest"))
-    seconds = F.timestamp_diff("SECOND", F.col("newest"), F.lit(now).cast("timestamp_ntz"))
+    seconds = duration_seconds(F.col("newest"), wall_clock(now))
     return newest.withColumn("hours", seconds / F.lit(3600.0)).withColumn(
         "stale", F.col("hours") > hours
     )

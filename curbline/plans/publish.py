@@ -13,6 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..config import Thresholds
 from ..errors import DataQualityError
+from ..functions.scalars import wall_clock
 from ..operators import daily, gates, rules as R
 from ..operators.contract import SchemaReport
 from ..sources import months as M
@@ -71,7 +72,7 @@ def read_state(spark: SparkSession, layout: Layout) -> DataFrame:
 def record_state(inventory: DataFrame, layout: Layout, now: datetime | None = None) -> None:
     """Remember the fingerprints the given months were loaded with."""
     known = _source_columns(inventory)
-    rows = inventory.select(MONTH, *known, F.lit(now or _now()).cast("timestamp_ntz").alias("recorded_at"))
+    rows = inventory.select(MONTH, *known, wall_clock(now or _now()).alias("recorded_at"))
     rows.write.mode("append").parquet(layout.table("source_state"))
 
 
@@ -122,7 +123,7 @@ def _run_rows(
         F.concat(F.lit(batch + "-"), F.date_format(MONTH, "yyyy-MM")).alias("run_id"),
         F.lit(layout.dataset).alias("dataset"),
         MONTH,
-        F.lit(now).cast("timestamp_ntz").alias("written_at"),
+        wall_clock(now).alias("written_at"),
         F.lit(trigger).alias("trigger"),
         F.lit(VERSION).alias("app_version"),
         F.lit(git_sha).cast("string").alias("git_sha"),

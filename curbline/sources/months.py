@@ -131,6 +131,7 @@ def file_inventory(spark: SparkSession, layout: Layout, content_hash: bool = Fal
     marks = [F.element_at(F.split("path", "/"), -1), F.col("length"), F.col("modificationTime")]
     if content_hash:
         marks = [F.element_at(F.split("path", "/"), -1), F.sha2("content", 256)]
+    utc = F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz"))
     return (
         files.withColumn(MONTH, F.make_date(year, month, F.lit(1)))
         .withColumn("mark", F.xxhash64(*marks))
@@ -140,7 +141,7 @@ def file_inventory(spark: SparkSession, layout: Layout, content_hash: bool = Fal
             F.concat_ws(
                 "-", F.lower(F.hex(F.bit_xor("mark"))), F.count(F.lit(1)).cast("string")
             ).alias("etag"),
-            F.max("modificationTime").cast("timestamp_ntz").alias("last_modified"),
+            F.max(utc).alias("last_modified"),
             F.sum("length").alias("bytes"),
         )
     )

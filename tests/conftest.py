@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("curbline-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "America/New_York")

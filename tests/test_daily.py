@@ -125,10 +125,11 @@ def test_zone_id_overflow_raises(spark, zones):
 def test_duration_ignores_daylight_saving_and_truncates(spark):
     rows = [
         trip("2025-03-09T01:30", "2025-03-09T03:30", 1.0, 1.0, 1.0),
+        trip("2025-03-09T01:50", "2025-03-09T02:30", 1.0, 1.0, 1.0),  # skipped by the clock
         (None, datetime(2025, 3, 9, 1, 40, 0, 500000), datetime(2025, 3, 9, 1, 30, 1), 1, 1.0, 1.0, 1.0),
     ]
     out = rules.with_duration(spark.createDataFrame(rows, TRIP_SCHEMA)).collect()
-    assert [r["duration_s"] for r in out] == [7200, -599]
+    assert [r["duration_s"] for r in out] == [7200, 2400, -599]
 
 
 def test_rules_are_data(trips):

@@ -1,6 +1,6 @@
 """The whole way from raw files to published months, on small files."""
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +142,11 @@ def test_checks_are_recorded_also_when_they_fail(spark, layout, zones):
         publish.check_freshness(spark, layout, inventory, today)
     publish.publish_months(spark, layout, [JAN, FEB], zones, LOOSE)
     publish.check_freshness(spark, layout, inventory, today, trigger="daily")
+    stored = publish.read_checks(spark, layout).agg(F.max("checked_at")).first()[0]
+    now = datetime.now(UTC).replace(tzinfo=None)
+    assert abs((now - stored).total_seconds()) < 600  # UTC, whatever the session time zone
+    seen = inventory.agg(F.max("last_modified")).first()[0]
+    assert abs((now - seen).total_seconds()) < 3600
     publish.check_freshness(spark, layout, inventory, today, record=False)
     with pytest.raises(DataQualityError, match="the limit is 120"):
         publish.check_freshness(spark, layout, inventory, date(2025, 9, 1), "2025-01", "2025-02")
