@@ -15,6 +15,10 @@ BUSIEST = 12
 LOW_COVERAGE = 0.9
 
 
+# Tables with one row per month, or per month and metric, are broadcast: the calendar bounds
+# them, and a shuffle on the month would send all zones of a month to one task.
+
+
 def rank_floor(zone_slices: DataFrame) -> DataFrame:
     """(month, floor): the least observations a ranked zone must have."""
     total = zone_slices.groupBy(MONTH).agg(F.sum("trips").alias("t"))
@@ -30,9 +34,8 @@ def map_floor(zone_slices: DataFrame, outlined: DataFrame, share: float = MAP_SH
 def metric_support(zone_slices: DataFrame, outlined: DataFrame, share: float = MAP_SHARE):
     """Every metric of every zone and month, and whether it stands above the map's floor."""
     long = metrics_long(zone_slices, [MONTH, "location_id"])
-    return long.join(map_floor(zone_slices, outlined, share), MONTH).withColumn(
-        "solid", solid(F.col("floor"))
-    )
+    floor = F.broadcast(map_floor(zone_slices, outlined, share))
+    return long.join(floor, MONTH).withColumn("solid", solid(F.col("floor")))
 
 
 def metric_coverage(zone_slices: DataFrame) -> DataFrame:
@@ -42,7 +45,8 @@ def metric_coverage(zone_slices: DataFrame) -> DataFrame:
 
 def _rankable(zone_slices: DataFrame) -> DataFrame:
     long = metrics_long(zone_slices, [MONTH, *ZONE])
-    return long.join(rank_floor(zone_slices), MONTH).where(solid(F.col("floor")))
+    floor = F.broadcast(rank_floor(zone_slices))
+    return long.join(floor, MONTH).where(solid(F.col("floor")))
 
 
 def zone_ranking(zone_slices: DataFrame, top: int = RANKED) -> DataFrame:
@@ -66,7 +70,7 @@ def best_zone(zone_slices: DataFrame) -> DataFrame:
         MONTH, "metric", F.col("value").alias("month_value")
     )
     share = F.when(F.col("additive"), ratio(F.col("b.value"), F.col("month_value")))
-    return best.join(month, [MONTH, "metric"]).select(
+    return best.join(F.broadcast(month), [MONTH, "metric"]).select(
         MONTH, "metric", "b.*", share.alias("share")
     )
 
@@ -120,7 +124,7 @@ def quantile_classes(
     known = (
         metrics_long(drawn, [MONTH, "location_id"])
         .where(solid(F.lit(0)))
-        .join(map_floor(zone_slices, outlined, share), MONTH)
+        .join(F.broadcast(map_floor(zone_slices, outlined, share)), MONTH)
         .withColumn("shown", solid(F.col("floor")))
     )
     cuts = range(1, classes)
@@ -130,7 +134,7 @@ def quantile_classes(
         known.select(MONTH, "metric", "value"), [MONTH, "metric"], "value", ranks, bound
     )
     at_or_below = [(F.col("value") >= F.col(f"p{i}")).cast("int") for i in range(classes - 1)]
-    return known.join(edges, [MONTH, "metric"]).select(
+    return known.join(F.broadcast(edges), [MONTH, "metric"]).select(
         MONTH, "metric", "location_id", "value", sum(at_or_below, F.lit(0)).alias("class"), "shown"
     )
 

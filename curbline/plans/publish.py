@@ -181,8 +181,10 @@ def publish_months(
                 chosen = F.col(MONTH).isin(passed)
                 totals = metrics.where(chosen)
                 rows = flagged.where(chosen)
-                middle = daily.daily_medians(rows, rules, row_bound=trips.count())
-                curated = daily.curated_rows(stats.where(chosen), middle, zones)
+                counted = stats.where(chosen)
+                largest = counted.agg(F.max(F.greatest("distance_obs", "duration_obs"))).first()[0]
+                middle = daily.daily_medians(rows, rules, row_bound=largest or 0)
+                curated = daily.curated_rows(counted, middle, zones)
                 ordered = curated.repartitionByRange(MONTH, "date", "location_id")
                 M.replace_months(
                     ordered.sortWithinPartitions(MONTH, "date", "location_id"),

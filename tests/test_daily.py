@@ -155,3 +155,22 @@ def test_no_row_rule_means_all_published(trips):
     own = [rules.Rule("seen", F.col("total_amount") > 0, rules.OBSERVE)]
     flagged = rules.flag_rows(trips, own)
     assert daily.row_stats(flagged, own, ["source_month"]).first()["published"] == len(CASES)
+
+
+def test_one_zone_with_most_rows_gives_the_same_medians(spark, zones):
+    import random
+    from statistics import median
+
+    rng = random.Random(11)
+    hot = [trip("2025-01-09T10:00", "2025-01-09T10:40", rng.uniform(0.1, 20), 9.0, 9.0) for _ in range(2001)]
+    rest = [trip(f"2025-01-{d:02d}T10:00", f"2025-01-{d:02d}T10:30", float(d), 9.0, 9.0, zone=264) for d in range(1, 29)]
+    df = spark.createDataFrame(hot + rest, TRIP_SCHEMA).repartition(6)
+
+    def table(max_distinct):
+        out = daily.zone_day(df, zones, rules.default_rules(), max_distinct=max_distinct)
+        return sorted(map(tuple, out.collect()))
+
+    plain = table(10**6)
+    assert table(40) == plain  # the hot group is narrowed down, the others are not
+    busiest = next(r for r in plain if r[2] == 100)
+    assert busiest[8] == round(median(r[4] for r in hot), 3)

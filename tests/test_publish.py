@@ -154,3 +154,18 @@ def test_checks_are_recorded_also_when_they_fail(spark, layout, zones):
     assert [c["status"] for c in checks] == ["failed", "ok", "failed"]
     assert checks[1]["trigger"] == "daily" and checks[1]["changed"] == []
     assert checks[1]["source_newest"] == "2025-02" and checks[0]["total"] == 3
+
+
+def test_month_without_rows_fails_its_gate(spark, layout, zones):
+    put(spark, layout, FEB, [])
+    with pytest.raises(DataQualityError, match="2025-02: gate no_rows"):
+        publish.publish_months(spark, layout, [JAN, FEB], zones, LOOSE)
+    assert M.stored_months(spark, layout) == [JAN]
+
+
+def test_reading_one_month_prunes_the_others(spark, layout):
+    schemas = {m: M.check_month(spark, layout, JAN)[0] for m in (JAN, FEB)}
+    trips = M.read_trips(spark, layout, schemas).where(F.col("source_month") == F.lit(JAN))
+    text = trips._jdf.queryExecution().executedPlan().toString()
+    filters = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "make_date(year" in filters and "2025-01-01" in filters

@@ -200,3 +200,13 @@ def test_sample_shows_every_kind(spark):
             "nonpositive_duration", "long_duration", "unknown_zone", "random"} <= set(kinds)
     again = sample.pathology_sample(df.repartition(5), 100).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
+
+
+def test_top_k_is_cut_before_the_shuffle(spark):
+    df, _ = busy(spark)
+    ranked = ranking.zone_ranking(df)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in ranked and "Partial" in ranked
+    drawn = sample.pathology_sample(spark.createDataFrame(CASES, TRIP_SCHEMA), 20)
+    text = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "TakeOrderedAndProject" in text
+    assert "CartesianProduct" not in text
