@@ -58,8 +58,7 @@ def pathology_sample(
     )
     text = F.concat_ws(
         "|", F.lit(str(seed)),
-        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in NEEDED[:2]],
-        F.col("PULocationID").cast("string"),
+        *[F.col(c).cast("string") for c in NEEDED[:3]],
         *[F.rint(F.col(c) * 100).cast("bigint").cast("string") for c in NEEDED[3:]],
     )
     # at most ``rows`` rows reach this point, so the final count-off is small
