@@ -93,6 +93,10 @@ def mean_vs_median(zone_slices: DataFrame, top: int = BUSIEST) -> DataFrame:
         F.col("rank") <= top
     )
     c = F.col
+
+    def low(share: str):
+        return F.coalesce(c(share) < LOW_COVERAGE, F.lit(False))
+
     covered = {
         "coverage_dist": ratio(c("dist_obs"), c("trips")),
         "coverage_dur": ratio(c("dur_obs"), c("trips")),
@@ -100,9 +104,9 @@ def mean_vs_median(zone_slices: DataFrame, top: int = BUSIEST) -> DataFrame:
     return busiest.withColumns(covered).select(
         MONTH, "rank", "location_id", "zone", "borough", "trips",
         ratio(c("dist_sum"), c("dist_obs")).alias("avg_distance_mi"), "median_dist",
-        "coverage_dist", (c("coverage_dist") < LOW_COVERAGE).alias("low_dist"),
+        "coverage_dist", low("coverage_dist").alias("low_dist"),
         ratio(c("dur_sum"), c("dur_obs")).alias("avg_duration_min"), "median_dur",
-        "coverage_dur", (c("coverage_dur") < LOW_COVERAGE).alias("low_dur"),
+        "coverage_dur", low("coverage_dur").alias("low_dur"),
         ratio(c("fare_sum"), c("fare_obs")).alias("avg_fare_usd"),
     )
 

@@ -61,13 +61,16 @@ def pathology_sample(
         *[F.col(c).cast("string") for c in NEEDED[:3]],
         *[F.rint(F.col(c) * 100).cast("bigint").cast("string") for c in NEEDED[3:]],
     )
-    # at most ``rows`` rows reach this point, so the final count-off is small
     drawn = timed.select(F.md5(text).alias("draw"), *columns).orderBy("draw", *columns).limit(rows)
-    left = F.lit(rows) - broken.agg(F.count(F.lit(1))).scalar()
-    position = F.row_number().over(W.partitionBy().orderBy("draw", *columns))
-    top_up = (
-        drawn.withColumn("rn", position)
-        .where(F.col("rn") <= left)
-        .select(F.lit("random").alias("kind"), *columns)
+    both = broken.withColumn("draw", F.lit(None).cast("string")).unionByName(
+        drawn.withColumn("kind", F.lit("random"))
+    )
+    # ``rows`` random rows and a few per kind have come this far: the count-off is small
+    chosen = F.col("draw").isNull()
+    taken = F.count(F.when(chosen, F.lit(1))).over(W.partitionBy())
+    place = F.row_number().over(W.partitionBy(chosen).orderBy("draw", *columns))
+    return (
+        both.withColumns({"taken": taken, "place": place})
+        .where(chosen | (F.col("place") <= F.lit(rows) - F.col("taken")))
+        .select("kind", *columns)
     )
-    return broken.unionByName(top_up)

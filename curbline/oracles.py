@@ -542,9 +542,9 @@ STATEMENTS: dict[str, str] = {
     "mean_vs_median": f"""
         SELECT source_month, CAST(rank AS INT) AS rank, location_id, zone, borough, trips,
                {_miles} AS avg_distance_mi, median_dist, {ratio('dist_obs', 'trips')} AS coverage_dist,
-               coverage_dist < 0.9 AS low_dist,
+               coalesce(coverage_dist < 0.9, FALSE) AS low_dist,
                {_minutes} AS avg_duration_min, median_dur, {ratio('dur_obs', 'trips')} AS coverage_dur,
-               coverage_dur < 0.9 AS low_dur, {_fare} AS avg_fare_usd
+               coalesce(coverage_dur < 0.9, FALSE) AS low_dur, {_fare} AS avg_fare_usd
         FROM (SELECT *, row_number() OVER (PARTITION BY source_month ORDER BY trips DESC, location_id) AS rank
               FROM zslices)
         WHERE rank <= 12""",

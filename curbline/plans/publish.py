@@ -49,7 +49,9 @@ def read_table(spark: SparkSession, layout: Layout, name: str, schema: str) -> D
     """A history table; an empty one before the first append."""
     try:
         return spark.read.schema(schema).parquet(layout.table(name))
-    except AnalysisException:
+    except AnalysisException as error:
+        if not M.is_absent(error):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -185,11 +187,11 @@ def publish_months(
                 largest = counted.agg(F.max(F.greatest("distance_obs", "duration_obs"))).first()[0]
                 middle = daily.daily_medians(rows, rules, row_bound=largest or 0)
                 curated = daily.curated_rows(counted, middle, zones)
-                ordered = curated.repartitionByRange(MONTH, "date", "location_id")
                 M.replace_months(
-                    ordered.sortWithinPartitions(MONTH, "date", "location_id"),
+                    curated,
                     layout.base("curated"),
                     _without(totals, F.col("output") == 0, layout, "curated"),
+                    order=daily.GROUP,
                 )
                 M.replace_months(
                     R.excluded_rows(rows),

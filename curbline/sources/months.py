@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -24,13 +25,18 @@ from .layout import Layout
 MONTH = "source_month"
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing is there yet."""
+    return any(word in str(error) for word in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
 def footer_schema(spark: SparkSession, path: str) -> T.StructType:
     """The schema of one month as its own files state it."""
     try:
         return spark.read.parquet(path).schema
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
-            raise DataQualityError(f"nothing stored under {path}") from missing
+    except AnalysisException as error:
+        if is_absent(error):
+            raise DataQualityError(f"nothing stored under {path}") from error
         raise
 
 
@@ -64,25 +70,30 @@ def read_trips(spark: SparkSession, layout: Layout, schemas: dict[date, T.Struct
     return reduce(DataFrame.unionByName, scans)
 
 
-def replace_months(rows: DataFrame, base: str, untouched: Iterable[str] = ()) -> None:
+def replace_months(
+    rows: DataFrame, base: str, untouched: Iterable[str] = (), order: Sequence[str] = ()
+) -> None:
     """Replace the months present in ``rows`` and empty the month paths in ``untouched``.
 
     A dynamic overwrite leaves a month alone when the frame has no row for it, so months known
-    to have none are overwritten on their own path.
+    to have none are overwritten on their own path. With ``order`` every file is sorted.
     """
-    year, month = F.date_format(MONTH, "yyyy"), F.date_format(MONTH, "MM")
-    placed = rows.withColumns({"year": year, "month": month}).drop(MONTH)
+    path = ["year", "month"]
+    parts = {"year": F.date_format(MONTH, "yyyy"), "month": F.date_format(MONTH, "MM")}
+    placed = rows.withColumns(parts).drop(MONTH)
+    if order:
+        placed = placed.repartitionByRange(*path, *order).sortWithinPartitions(*path, *order)
     (
-        placed.write.partitionBy("year", "month")
+        placed.write.partitionBy(*path)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .parquet(base)
     )
-    columns = T.StructType([f for f in placed.schema if f.name not in ("year", "month")])
-    for path in untouched:
+    columns = T.StructType([f for f in placed.schema if f.name not in path])
+    for target in untouched:
         empty = rows.sparkSession.createDataFrame([], columns)
-        empty.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        empty.write.mode("overwrite").option("compression", "zstd").parquet(target)
 
 
 def partitions(curated: DataFrame) -> DataFrame:
@@ -91,12 +102,15 @@ def partitions(curated: DataFrame) -> DataFrame:
 
 
 def stored_months(spark: SparkSession, layout: Layout, area: str = "curated") -> list[date]:
-    """Month list from the directory names; empty before the first run."""
+    """The months that have a directory with files, also one without rows; oldest first."""
     try:
-        found = partitions(spark.read.parquet(layout.base(area))).collect()
-    except AnalysisException:
-        return []
-    return [date(int(r["year"]), int(r["month"]), 1) for r in found]
+        files = spark.read.parquet(layout.base(area)).inputFiles()
+    except AnalysisException as error:
+        if is_absent(error):
+            return []
+        raise
+    found = (re.search(r"/year=(\d+)/month=(\d+)/", f) for f in files)
+    return sorted({date(int(m[1]), int(m[2]), 1) for m in found if m})
 
 
 def read_curated(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -169,3 +169,30 @@ def test_reading_one_month_prunes_the_others(spark, layout):
     text = trips._jdf.queryExecution().executedPlan().toString()
     filters = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "make_date(year" in filters and "2025-01-01" in filters
+
+
+def test_files_are_sorted_and_a_month_is_few_files(spark, layout, zones):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = [trip(f"2025-02-{1 + i % 28:02d}T10:00", f"2025-02-{1 + i % 28:02d}T10:20", 2.0, 9.0, 9.0, zone=1 + i % 60, month=FEB) for i in range(1500)]
+    put(spark, layout, FEB, rows)
+    publish.publish_months(spark, layout, [JAN, FEB], zones, LOOSE.__class__(max_reject_ratio=0.5, max_volume_delta=500.0, max_reversal_ratio=0.5, max_null_ratio_distance=0.5, max_null_ratio_duration=0.5))
+    files = glob.glob(layout.month("curated", FEB) + "/*.parquet")
+    assert 1 <= len(files) <= 8
+    for f in files:
+        table = pq.read_table(f, columns=["date", "location_id"]).to_pylist()
+        keys = [(r["date"], r["location_id"]) for r in table]
+        assert keys == sorted(keys)
+
+
+def test_a_month_of_only_rejected_rows_is_published_empty(spark, layout, zones):
+    put(spark, layout, FEB, CASES)  # January's rows in February's file
+    all_out = Thresholds(max_reject_ratio=1.0, max_reversal_ratio=1.0, max_null_ratio_distance=1.0,
+                         max_null_ratio_duration=1.0, max_volume_delta=9.0)
+    publish.publish_months(spark, layout, [FEB], zones, all_out)
+    assert M.stored_months(spark, layout) == [FEB]
+    assert spark.read.parquet(layout.month("curated", FEB)).count() == 0
+    run = publish.read_runs(spark, layout).first()
+    assert (run["rows"]["rejected"], run["rows"]["output"]) == (13, 0)
