@@ -62,6 +62,9 @@ def default_rules(limits: Thresholds = Thresholds()) -> list[Rule]:
 def check_rules(rules: Sequence[Rule]) -> None:
     """An action must be one of the three words or a measured column."""
     names = [r.name for r in rules]
+    odd = [n for n in names if not n.isidentifier()]
+    if odd:
+        raise ValueError(f"rule names must be plain words: {odd}")
     if len(set(names)) != len(names):
         raise ValueError(f"rule names repeat: {names}")
     unknown = [r.action for r in rules if r.nulls and r.nulls not in MEASURES]

@@ -145,6 +145,8 @@ def test_rules_are_data(trips):
     assert (m["rejected"], m["r_short"], m["r_pricey"], m["x_total_amount"]) == (4, 4, 1, 2)
     with pytest.raises(ValueError, match="nope"):
         rules.flag_rows(trips, [rules.Rule("bad", F.lit(True), "nope")])
+    with pytest.raises(ValueError, match="plain words"):
+        rules.flag_rows(trips, [rules.Rule("it's", F.lit(True), rules.OBSERVE)])
     with pytest.raises(ValueError, match="repeat"):
         rules.flag_rows(trips, [own[0], own[0]])
 
