@@ -31,7 +31,11 @@ def _flagged(spark, sf):
 
 def _curated(spark, sf, medians=False):
     return daily.zone_day(
-        adapter.trips(spark, sf), adapter.zones(spark, sf), R.default_rules(), medians=medians
+        adapter.trips(spark, sf),
+        adapter.zones(spark, sf),
+        R.default_rules(),
+        medians=medians,
+        row_bound=adapter.trip_count(spark, sf) if medians else None,
     )
 
 
@@ -57,7 +61,10 @@ def _latest(spark, sf):
 def _long(counts: DataFrame, prefix: str, name: str) -> DataFrame:
     """Count columns with a prefix to (month, name, rows)."""
     columns = [c for c in counts.columns if c.startswith(prefix)]
-    entries = [F.struct(F.lit(c.removeprefix(prefix)).alias(name), F.col(c).alias("rows")) for c in columns]
+    entries = [
+        F.struct(F.lit(c.removeprefix(prefix)).alias(name), F.col(c).alias("rows"))
+        for c in columns
+    ]
     return counts.select(MONTH, F.explode(F.array(*entries)).alias("e")).select(MONTH, "e.*")
 
 
@@ -199,7 +206,8 @@ def latest_runs(spark, sf):
 def runs_history(spark, sf):
     runs = H.runs_history(derived.runs(spark, sf))
     limit = F.col("thresholds")["max_reversal_ratio"]
-    return _flat_run(runs.withColumn("max_reversal_ratio", limit), "previous_version_input", "max_reversal_ratio")
+    shown = runs.withColumn("max_reversal_ratio", limit)
+    return _flat_run(shown, "previous_version_input", "max_reversal_ratio")
 
 
 @query
@@ -318,7 +326,8 @@ def slices(spark, sf):
 @query
 def metrics(spark, sf):
     rows = with_metrics(S.slices(_curated(spark, sf)))
-    return rows.select("level", MONTH, "location_id", "date", *[c for c in rows.columns if c.startswith("m_")])
+    values = [c for c in rows.columns if c.startswith("m_")]
+    return rows.select("level", MONTH, "location_id", "date", *values)
 
 
 @query

@@ -108,6 +108,7 @@ def curated_rows(
         rows = rows.alias("s").join(medians.alias("m"), same, "left").select(
             "s.*", "m.median_distance", "m.median_duration"
         )
+    miles, fares = from_units(F.col("distance_units")), from_units(F.col("fare_units"))
     minutes = F.col("duration_s") / F.lit(60.0)
     money = {
         name: F.coalesce(round_half(from_units(F.col(units)), 2), F.lit(0.0))
@@ -117,11 +118,11 @@ def curated_rows(
         rows.withColumns(
             {
                 "trips": F.col("published"),
-                "avg_distance_mi": round_half(ratio(from_units(F.col("distance_units")), F.col("distance_obs")), 3),
+                "avg_distance_mi": round_half(ratio(miles, F.col("distance_obs")), 3),
                 "median_distance_mi": round_half(F.col("median_distance"), 3),
                 "avg_duration_min": round_half(ratio(minutes, F.col("duration_obs")), 2),
                 "median_duration_min": round_half(F.col("median_duration"), 2),
-                "avg_fare_usd": round_half(ratio(from_units(F.col("fare_units")), F.col("fare_obs")), 2),
+                "avg_fare_usd": round_half(ratio(fares, F.col("fare_obs")), 2),
                 **money,
             }
         )
@@ -140,17 +141,20 @@ def zone_day(
     rules: Sequence[Rule],
     by: Sequence[str] = ("source_month",),
     medians: bool = True,
+    row_bound: int | None = None,
     max_distinct: int = MAX_DISTINCT,
 ) -> DataFrame:
     """Trips of any number of months to the published table.
 
-    ``medians=False`` leaves the two median columns null and saves their pass.
+    ``medians=False`` leaves the two median columns null and saves their pass. ``row_bound`` is
+    a known bound on the rows; without it the trips are counted, which for a plain scan reads
+    just the row counts in the file footers.
     """
     flagged = flag_rows(trips, rules)
     middle = None
     if medians:
-        # counting the bare scan reads row counts from the file footers only
-        middle = daily_medians(flagged, rules, by, trips.count(), max_distinct)
+        bound = trips.count() if row_bound is None else row_bound
+        middle = daily_medians(flagged, rules, by, bound, max_distinct)
     return curated_rows(daily_stats(flagged, rules, by), middle, zones, by)
 
 

@@ -62,6 +62,11 @@ def trips(spark: SparkSession, sf_dir: str, delivery: bool = False) -> DataFrame
     return timed.selectExpr("source_month", *(["delivery"] if delivery else []), trip)
 
 
+def trip_count(spark: SparkSession, sf_dir: str) -> int:
+    """One trip per line item; answered from the file footers."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers, nations, regions = (
         table(spark, sf_dir, n) for n in ("supplier", "nation", "region")

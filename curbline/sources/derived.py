@@ -49,7 +49,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = [F.lit(x) for pair in Thresholds().limits().items() for x in pair]
     kinds = ["input", "published", "reversed", "rejected", "output"]
     return run_counts(spark, sf_dir).select(
-        F.concat(F.lit("r-"), month_label(F.col(MONTH)), F.lit("-v"), F.col("version").cast("string")).alias("run_id"),
+        F.format_string("r-%s-v%d", month_label(F.col(MONTH)), "version").alias("run_id"),
         MONTH,
         written.alias("written_at"),
         F.when(F.col("version") == 1, "scheduled").otherwise("manual").alias("trigger"),
