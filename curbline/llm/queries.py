@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, mixing
-from .common import table
+from . import bpe, chunk_dedup, langid, mixing, secrets, token_counts, toxicity
+from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +20,32 @@ def query(fn: Query) -> Query:
     return fn
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_byte_bpe(spark, sf):
+    return bpe.digests(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@query
+def op2_toxicity(spark, sf):
+    return toxicity.scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op4_token_counts(spark, sf):
+    """Against a cache of its own, so every distinct text is a miss."""
+    cache = f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}"
+    return token_counts.token_counts(table(spark, sf, "documents"), COUNTED, cache)
+
+
+@query
+def op6_secrets(spark, sf):
+    return secrets.secret_spans(table(spark, sf, "documents"))
+
+
 @query
 def op7_mixing(spark, sf):
     taken, _, _ = mixing.mix(table(spark, sf, "documents"))
@@ -29,6 +57,11 @@ def op9_exact_dedup(spark, sf):
     return chunk_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+@query
+def op10_langid(spark, sf):
+    return langid.languages_of(table(spark, sf, "documents"))
+
+
 ORACLES = {
     "op9_exact_dedup": r"""
         WITH d AS (
