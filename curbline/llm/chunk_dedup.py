@@ -21,21 +21,23 @@ from .common import BLANK, cut
 SHORTEST, LONGEST = 512, 4096  # characters of a chunk
 
 
-def _cut_set(offset: int) -> str:
-    """A sixteenth of all characters as a character class: by residue below U+0250, by the first
-    64 of every 1024 from there to U+FFFF."""
-    low = [c for c in range(0x21, 0x250) if c % 16 == offset]
-    high = range(0x400, 0xD800, 0x400)
-    return (
-        "[" + "".join(f"\\x{{{c:x}}}" for c in low)
-        + "".join(f"\\x{{{c + 64 * offset:x}}}-\\x{{{c + 64 * offset + 63:x}}}" for c in high) + "]"
-    )
+def _cut_set(offset: int, high: bool) -> str:
+    """A sixteenth of the characters as a class: below U+0100 by residue, from there to U+FFFF
+    64 of every 1024."""
+    if not high:
+        return "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x21, 0x100) if c % 16 == offset) + "]"
+    firsts = range(0x400 + 64 * offset, 0xD800, 0x400)
+    return "[" + "".join(f"\\x{{{c:x}}}-\\x{{{c + 63:x}}}" for c in firsts) + "]"
 
 
 def cut_pattern(shortest: int = SHORTEST, longest: int = LONGEST) -> str:
-    """A chunk ends behind a character of one set and one of another, else at its longest."""
-    ends = f"(?<={_cut_set(3)}{_cut_set(5)})"
-    return f"(?s).{{{shortest},{longest - 1}}}?(?:{ends}|\\z)|(?s).{{1,{longest}}}"
+    """A chunk ends behind a character of one set and one of another, else at its longest. The
+    classes of higher characters are many ranges, so they are tried behind a test for one range."""
+    ends = (
+        f"(?:{_cut_set(3, False)}{_cut_set(5, False)}"
+        f"|(?=[\\x{{100}}-\\x{{ffff}}]){_cut_set(3, True)}{_cut_set(5, True)})"
+    )
+    return f"(?s).{{{shortest - 2},{longest - 2}}}?{ends}|(?s).{{1,{longest}}}"
 
 
 def normalised(text: Column) -> Column:
