@@ -46,9 +46,10 @@ def segments(texts: list[str], most: int = SEGMENT_CHARS) -> Iterator[tuple[np.n
 
 class Stream:
     """Texts as one row of code points: lower case, everything but `kind` as single blanks, a
-    blank before and behind every text. `text` has the number of the text of each place."""
+    blank before and behind every text. `text` has the number of the text of each place. With
+    `once`, a word that repeats directly behind itself stands once."""
 
-    def __init__(self, texts: list[str], kind: str):
+    def __init__(self, texts: list[str], kind: str, once: bool = False):
         lowered = [t.lower() for t in texts]
         data = " ".join(["", *lowered, ""]).encode("utf-32-le", "surrogatepass")
         points = np.frombuffer(data, np.uint32)
@@ -63,6 +64,19 @@ class Stream:
         self.blank = ~keeps[stays]
         self.text = np.append(owner, len(texts) - 1)[stays] if len(texts) else owner
         self.has = np.bincount(owner[keeps[:-1]], minlength=self.n) > 0
+        if once:
+            self._drop_repeats()
+
+    def _drop_repeats(self) -> None:
+        start, end, code = self._word_codes()
+        again = np.flatnonzero((code[1:] == code[:-1]) & (self.text[start[1:]] == self.text[start[:-1]])) + 1
+        if len(again) == 0:
+            return
+        step = np.zeros(len(self.points) + 1, np.int32)
+        step[start[again]] += 1
+        step[end[again] + 1] -= 1  # with the blank behind it
+        stays = np.cumsum(step[:-1]) == 0
+        self.points, self.blank, self.text = self.points[stays], self.blank[stays], self.text[stays]
 
     def grams(self, n: int, bits: int, inside_words: bool) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and text of every n-gram; with inside_words, blanks may stand at the ends only.
@@ -88,8 +102,7 @@ class Stream:
             fine = self.text[:count] == self.text[n - 1 :]
         return bucket[fine], owner[fine]
 
-    def words(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and text of every whole word."""
+    def _word_codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         edge = np.flatnonzero(self.blank)
         start, end = edge[:-1] + 1, edge[1:]
         full = end > start
@@ -97,7 +110,11 @@ class Stream:
         power = np.cumprod(np.full(len(self.points) + 1, BASE, np.uint64))
         back = np.cumprod(np.full(len(self.points) + 1, _inverse(BASE), np.uint64))
         sums = np.concatenate([[np.uint64(0)], np.cumsum(self.points * power[:-1])])
-        code = (sums[end] - sums[start]) * back[start] * MIX
+        return start, end, (sums[end] - sums[start]) * back[start] * MIX
+
+    def words(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket and text of every whole word."""
+        start, _, code = self._word_codes()
         return (code >> np.uint64(64 - bits)).astype(np.int64), self.text[start]
 
 

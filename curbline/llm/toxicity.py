@@ -25,27 +25,32 @@ PARTS, REST = 5, 0  # fixed values: rows whose crc32 modulo 5 is 0 are held out
 
 @dataclass(frozen=True)
 class Training:
-    """The sample is bounded: at most `rows` labelled texts of each class, by hash of the id, and
-    of these as many whole texts as stay within `chars` characters together."""
-
-    rows: int = 1500
-    chars: int = 8_000_000
+    """The sample is bounded: at most `clean` and `toxic` labelled texts of the two classes, by
+    hash of the id, and of these as many whole texts as stay within `chars` characters together.
+    Every text's mean is taken as if it had `blanks` more features with the zero vector, so a few
+    rare words do not decide on a short text."""
+
+    clean: int = 3000
+    toxic: int = 1000
+    chars: int = 14_000_000
+    blanks: int = 1000
     bits: int = 18
     size: int = 8
     epochs: int = 10
     group: int = 32
-    rate: float = 0.5
+    rate: float = 1.0
     seed: int = 7
 
 
 def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Bucket and text of every word and of every n-gram inside words."""
-    stream = Stream(texts, "isalnum")
+    """Bucket and text of every word and of every n-gram inside words. A word repeated directly
+    behind itself counts once."""
+    stream = Stream(texts, "isalnum", once=True)
     found = [stream.words(bits), *(stream.grams(n, bits, True) for n in LENGTHS)]
     return np.concatenate([b for b, _ in found]), np.concatenate([t for _, t in found]), stream.n
 
 
-def _bags(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _bags(texts: list[str], bits: int, blanks: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its distinct buckets and their shares."""
     found: list[list[np.ndarray]] = [[] for _ in texts]
     for numbers, parts in segments(texts):
@@ -57,7 +62,7 @@ def _bags(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     bags = []
     for own in found:
         buckets, counts = np.unique(np.concatenate(own), return_counts=True)
-        bags.append((buckets, (counts / max(1, counts.sum())).astype(np.float32)))
+        bags.append((buckets, (counts / max(1, counts.sum() + blanks)).astype(np.float32)))
     return bags
 
 
@@ -65,16 +70,15 @@ def fit(texts: list[str], marks: list[int], how: Training = Training()) -> tuple
     """(number per bucket, bias): the logit of class 1 is their mean over a text plus the bias."""
     rng = np.random.default_rng(how.seed)
     width = 1 << how.bits
-    vectors = rng.uniform(-0.5, 0.5, (how.size, width)).astype(np.float32) / how.size
+    vectors = np.zeros((how.size, width), np.float32)  # what is never seen says nothing
     softmax = rng.normal(0, 1, (how.size, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    seen = np.full(width, 1e-6, np.float32)
+    seen = np.full(width, 1e-8, np.float32)
     seen_softmax, seen_bias = np.full((how.size, 2), 1e-6), np.full(2, 1e-6)
-    bags, marks = _bags(texts, how.bits), np.array(marks, np.int64)
+    bags, marks = _bags(texts, how.bits, how.blanks), np.array(marks, np.int64)
     if len(bags) == 0 or marks.min() == marks.max():
         chance = 0.0 if len(bags) == 0 or marks.min() == 0 else 1.0
         return np.zeros(width, np.float32), (20.0 * chance - 10.0)
-    weight = len(marks) / (2 * np.bincount(marks, minlength=2))
     for _ in range(how.epochs):
         for own in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // how.group)):
             bucket = np.concatenate([bags[i][0] for i in own])
@@ -89,7 +93,7 @@ def fit(texts: list[str], marks: list[int], how: Training = Training()) -> tuple
             chances /= chances.sum(axis=1, keepdims=True)
             error = chances
             error[np.arange(len(own)), marks[own]] -= 1
-            error *= (weight[marks[own]] / len(own))[:, None]
+            error /= len(own)
             back = (error @ softmax.T).astype(np.float32)
             step_softmax, step_bias = means.T @ error, error.sum(axis=0)
             seen_softmax += step_softmax**2
@@ -127,8 +131,8 @@ def learn(
             "place",
             F.row_number().over(Window.partitionBy("mark").orderBy("order", "doc_id", "chars")),
         )
-        .where(F.col("place") <= how.rows)
-        .withColumn("upto", F.sum("chars").over(Window.orderBy("place", "mark", "chars")))
+        .where(F.col("place") <= F.when(F.col("mark") == 1, how.toxic).otherwise(how.clean))
+        .withColumn("upto", F.sum("chars").over(Window.orderBy("order", "doc_id", "chars")))
         .where(F.col("upto") <= how.chars)
         .select("doc_id", "mark")
         .distinct()
@@ -140,13 +144,13 @@ def learn(
     return fit([t for _, t, _ in sample], [m for _, _, m in sample], how)
 
 
-def _scores(texts: list[str], numbers: np.ndarray, bias: float, bits: int) -> np.ndarray:
+def _scores(texts: list[str], numbers: np.ndarray, bias: float, how: Training) -> np.ndarray:
     sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
     for places, parts in segments(texts):
-        bucket, owner, n = features(parts, bits)
+        bucket, owner, n = features(parts, how.bits)
         np.add.at(sums, places, np.bincount(owner, weights=numbers[bucket], minlength=n))
         np.add.at(counts, places, np.bincount(owner, minlength=n))
-    logit = sums / np.maximum(counts, 1) + bias
+    logit = sums / np.maximum(counts + how.blanks, 1) + bias
     return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
@@ -167,7 +171,7 @@ def score(
         numbers, bias = sent.value
         for batch in stream:
             texts = [x or "" for x in batch.column(2).to_pylist()]
-            found = _scores(texts, numbers, bias, how.bits)
+            found = _scores(texts, numbers, bias, how)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -194,7 +198,7 @@ def drop_toxic(
         numbers, bias = sent.value
         for batch in stream:
             texts = [x or "" for x in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(_scores(texts, numbers, bias, how.bits) < 0.5))
+            yield batch.filter(pa.array(_scores(texts, numbers, bias, how) < 0.5))
 
     return docs.mapInArrow(batches, docs.schema)
 
