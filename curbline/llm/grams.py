@@ -14,7 +14,11 @@ _kinds: dict[str, np.ndarray] = {}
 
 
 def char_table(kind: str) -> np.ndarray:
-    """For every code point, whether str.<kind> holds for it."""
+    """For every code point, whether str.<kind> holds for it; "word" is all but the white space of
+    the contracts."""
+    if kind == "word" and kind not in _kinds:
+        _kinds[kind] = np.ones(0x110000, bool)
+        _kinds[kind][[9, 10, 11, 12, 13, 32]] = False
     if kind not in _kinds:
         _kinds[kind] = np.array([getattr(chr(c), kind)() for c in range(0x110000)])
     return _kinds[kind]
@@ -68,7 +72,7 @@ class Stream:
             self._drop_repeats()
 
     def _drop_repeats(self) -> None:
-        start, end, code = self._word_codes()
+        start, end, code = self.word_codes()
         again = np.flatnonzero((code[1:] == code[:-1]) & (self.text[start[1:]] == self.text[start[:-1]])) + 1
         if len(again) == 0:
             return
@@ -102,7 +106,8 @@ class Stream:
             fine = self.text[:count] == self.text[n - 1 :]
         return bucket[fine], owner[fine]
 
-    def _word_codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def word_codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and 64-bit code of every word."""
         edge = np.flatnonzero(self.blank)
         start, end = edge[:-1] + 1, edge[1:]
         full = end > start
@@ -114,7 +119,7 @@ class Stream:
 
     def words(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and text of every whole word."""
-        start, _, code = self._word_codes()
+        start, _, code = self.word_codes()
         return (code >> np.uint64(64 - bits)).astype(np.int64), self.text[start]
 
 

@@ -176,7 +176,12 @@ def permuted(index: Column, size: Column, keys: Column, seed: int, rounds: int =
 def slots(sources: DataFrame, block: int, shard_slots: int, seed: int, n_sources: int) -> DataFrame:
     """The mix as a list: (source_no, shard, ordinal, block, words): slot `ordinal` of a source takes
     the first `words` words of its block `block`."""
-    dealt = draw_shards(sources, shard_slots, seed).select(
+    # A row stands for up to a shard's worth of slots, so rows are spread before they are expanded.
+    spread = max(
+        int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        (sources.agg(F.sum("slots")).first()[0] or 0) >> 20,
+    )
+    dealt = draw_shards(sources, shard_slots, seed).repartition(spread, "source_no", "shard").select(
         "source_no", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("ordinal")
     )
     info = sources.select("source_no", "blocks", "full_blocks", "tail", "passes", "rest", "slots")

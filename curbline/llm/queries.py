@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, mixing, secrets, token_counts, toxicity
+from . import bpe, chunk_dedup, langid, mixing, near_dup, secrets, token_counts, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,12 @@ def op7_mixing(spark, sf):
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_near_dup(spark, sf):
+    found = near_dup.near_classes(table(spark, sf, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "exact_size")
+
+
 @query
 def op9_exact_dedup(spark, sf):
     return chunk_dedup.exact_groups(table(spark, sf, "documents"))
