@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, mixing, near_dup, secrets, token_counts, toxicity
+from . import bpe, chunk_dedup, langid, mixing, near_dup, secrets, token_counts, topk, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op2_toxicity(spark, sf):
     return toxicity.scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op3_topk(spark, sf):
+    return topk.nearest(table(spark, sf, "embeddings"))
+
+
 @query
 def op4_token_counts(spark, sf):
     """Against a cache of its own, so every distinct text is a miss."""
@@ -69,6 +74,24 @@ def op10_langid(spark, sf):
 
 
 ORACLES = {
+    "op3_topk": """
+        WITH v AS (
+            SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND NOT list_contains(list_transform(
+                    embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+        s AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x)
+            WHERE q.vec_id % 50 = 0),
+        r AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op9_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t,
