@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, mixing, near_dup, secrets, token_counts, topk, toxicity
+from . import bpe, chunk_dedup, langid, lm_score, mixing, near_dup, secrets, token_counts, topk, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op4_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), COUNTED, cache)
 
 
+@query
+def op5_lm_score(spark, sf):
+    return lm_score.scores(table(spark, sf, "documents"))
+
+
 @query
 def op6_secrets(spark, sf):
     return secrets.secret_spans(table(spark, sf, "documents"))

@@ -123,15 +123,17 @@ def learn(
     )
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     order = F.xxhash64("doc_id", F.lit(how.seed))
-    first = (
+    ordered = (
         own.select("doc_id", F.length("text").alias("chars"))
         .join(marked, "doc_id")
         .withColumn("order", order)
-        .withColumn(
-            "place",
-            F.row_number().over(Window.partitionBy("mark").orderBy("order", "doc_id", "chars")),
-        )
-        .where(F.col("place") <= F.when(F.col("mark") == 1, how.toxic).otherwise(how.clean))
+    )
+    clean, toxic = (
+        ordered.where(F.col("mark") == m).orderBy("order", "doc_id", "chars").limit(n)
+        for m, n in ((0, how.clean), (1, how.toxic))
+    )
+    first = (
+        clean.union(toxic)
         .withColumn("upto", F.sum("chars").over(Window.orderBy("order", "doc_id", "chars")))
         .where(F.col("upto") <= how.chars)
         .select("doc_id", "mark")
