@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -50,6 +53,19 @@ def held_out(column: str, parts: int, rest: int) -> Column:
     return F.coalesce(remainder(column, parts) == rest, F.lit(True))
 
 
+def portions(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about `most` characters of a text column, or of one longer text."""
+    lengths = pc.utf8_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for at, length in enumerate(lengths.tolist()):
+        if at > start and size + length > most:
+            yield batch.slice(start, at - start)
+            start, size = at, 0
+        size += length
+    if start < len(lengths):
+        yield batch.slice(start)
+
+
 _shipped: dict[str, str] = {}
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, ship
+from .common import cut, portions, ship
 from .probsign import scramble, signatures, similarity, weighted_shingles
 
 THRESHOLD = 0.8
@@ -30,7 +30,7 @@ BANDS, ROWS = 25, 5  # a pair at 0.8 shares a band with a probability of 0.99995
 SEED = 41
 BLOCK = 1024  # members of a block
 FEW_KEYS = 1_000_000  # up to so many keys (16 bytes each) are broadcast
-PORTION = 1 << 20  # characters whose texts are signed together
+PORTION = 1 << 19  # characters whose texts are signed together
 
 
 def _keyed(docs: DataFrame, text: str, id_col: str, *more: Column) -> DataFrame:
@@ -48,35 +48,24 @@ def _keyed(docs: DataFrame, text: str, id_col: str, *more: Column) -> DataFrame:
     )
 
 
-def _portions(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for at, text in enumerate(texts):
-        size += len(text)
-        if size >= PORTION:
-            yield start, at + 1
-            start, size = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _signed(docs: DataFrame) -> DataFrame:
     """doc_id, h1, h2 and the band keys of every text; none for a text without words."""
     salt = scramble(np.arange(ROWS, dtype=np.uint64)) | np.uint64(1)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            texts, keys = batch.column(3).to_pylist(), []
-            for start, end in _portions(texts):
-                shingles, counts, owner, _ = weighted_shingles(texts[start:end])
-                kept = signatures(shingles, counts, owner, end - start, REGISTERS, SEED)
-                rows = kept[:, : BANDS * ROWS].reshape(end - start, BANDS, ROWS)
+            for part in portions(batch, 3, PORTION):
+                n = part.num_rows
+                shingles, counts, owner, _ = weighted_shingles(part.column(3).to_pylist())
+                kept = signatures(shingles, counts, owner, n, REGISTERS, SEED)
+                rows = kept[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
                 bands = scramble((rows * salt).sum(axis=2, dtype=np.uint64)).astype(np.int64)
-                some = np.bincount(owner, minlength=end - start) > 0
-                keys += [list(b) if ok else [] for b, ok in zip(bands, some)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "h1", "h2", "bands"],
-            )
+                some = np.bincount(owner, minlength=n) > 0
+                keys = [b if ok else b[:0] for b, ok in zip(bands, some)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in range(3)), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "h1", "h2", "bands"],
+                )
 
     return docs.mapInArrow(batches, "doc_id BIGINT, h1 BIGINT, h2 BIGINT, bands ARRAY<BIGINT>")
 
@@ -86,18 +75,18 @@ def _contents(texts: DataFrame) -> DataFrame:
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            texts, codes, weights = batch.column(1).to_pylist(), [], []
-            for start, end in _portions(texts):
-                shingles, counts, owner, _ = weighted_shingles(texts[start:end])
-                bounds = np.searchsorted(owner, np.arange(end - start + 1))
+            for part in portions(batch, 1, PORTION):
+                shingles, counts, owner, _ = weighted_shingles(part.column(1).to_pylist())
+                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+                codes, weights = [], []
                 for a, b in zip(bounds[:-1], bounds[1:]):
                     codes.append(shingles[a:b].tobytes())
                     plain = counts[a:b].max(initial=1) == 1
                     weights.append(b"" if plain else counts[a:b].astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(codes, pa.binary()), pa.array(weights, pa.binary())],
-                ["vid", "codes", "weights"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(codes, pa.binary()), pa.array(weights, pa.binary())],
+                    ["vid", "codes", "weights"],
+                )
 
     return texts.select("vid", "text").mapInArrow(batches, "vid BIGINT, codes BINARY, weights BINARY")
 
