@@ -35,7 +35,6 @@ def _curated(spark, sf, medians=False):
         adapter.zones(spark, sf),
         R.default_rules(),
         medians=medians,
-        row_bound=adapter.trip_count(spark, sf) if medians else None,
     )
 
 
@@ -44,18 +43,15 @@ def _stats(spark, sf):
 
 
 def _zone_slices(spark, sf, medians=False):
-    """Months x zones rows, kept because the rankings walk them more than once."""
-    return S.zone_slices(_curated(spark, sf, medians), medians).persist()
+    return S.zone_slices(_curated(spark, sf, medians), medians)
 
 
 def _day_slices(spark, sf):
-    """Months x days rows, kept like the zone slices."""
-    return S.day_slices(_curated(spark, sf)).persist()
+    return S.day_slices(_curated(spark, sf))
 
 
 def _latest(spark, sf):
-    """One row per month, kept because the reports walk it more than once."""
-    return H.latest_runs(derived.runs(spark, sf)).persist()
+    return H.latest_runs(derived.runs(spark, sf))
 
 
 def _long(counts: DataFrame, prefix: str, name: str) -> DataFrame:
@@ -167,7 +163,7 @@ def custom_rules(spark, sf):
 
 @query
 def gate_results(spark, sf):
-    months = derived.expected_months(spark)
+    months = derived.expected_months(spark, sf)
     return gates.gate_results(daily.run_metrics(_stats(spark, sf)), months=months)
 
 
@@ -212,7 +208,7 @@ def runs_history(spark, sf):
 
 @query
 def recent_runs(spark, sf):
-    return _flat_run(H.recent_runs(derived.runs(spark, sf), shown=5))
+    return _flat_run(H.recent_runs(derived.runs(spark, sf)))
 
 
 @query
@@ -236,13 +232,14 @@ def upgrade_runs(spark, sf):
 # ---- detection ----
 
 
-def _candidates(spark):
-    return D.candidate_months(spark, derived.TODAY, "1995-01", "2001-12")
+def _candidates(spark, sf):
+    """Every month from the first to the last that the source has."""
+    return derived.month_span(derived.inventory(spark, sf))
 
 
 def _detected(spark, sf):
     return D.detect(
-        _candidates(spark), derived.inventory(spark, sf), derived.state(spark, sf),
+        _candidates(spark, sf), derived.inventory(spark, sf), derived.state(spark, sf),
         derived.outputs(spark, sf),
     )
 
@@ -254,7 +251,7 @@ def detect(spark, sf):
 
 @query
 def ingest_gaps(spark, sf):
-    return D.ingest_gaps(_candidates(spark), derived.inventory(spark, sf), derived.outputs(spark, sf))
+    return D.ingest_gaps(_candidates(spark, sf), derived.inventory(spark, sf), derived.outputs(spark, sf))
 
 
 @query

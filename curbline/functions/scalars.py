@@ -6,24 +6,40 @@ from datetime import datetime
 
 from pyspark.sql import Column, functions as F
 
-# Measurements and money are summed as whole ten-thousandths in a BIGINT: integer addition
-# gives the same total whatever order the partial sums arrive in, and under ANSI mode an
-# overflow raises instead of wrapping.
-UNITS = 10_000
+# Measurements and money are summed as decimals of ten places, which is more than any source
+# carries: the same total in whatever order the partial sums arrive.
+EXACT = "DECIMAL(38, 10)"
 
 
-def to_units(x: str) -> str:
-    """SQL for an amount in whole ten-thousandths."""
-    return f"CAST(rint(({x}) * {UNITS}.0D) AS BIGINT)"
+def exact(x: str) -> str:
+    """SQL for a number as an exact decimal; null when it is no finite number below 10^28."""
+    return f"try_cast({x} AS {EXACT})"
 
 
-def from_units(x: Column) -> Column:
-    return x.cast("double") / F.lit(float(UNITS))
+def round_half(x: Column, places: int) -> Column:
+    """Round a double once, half away from zero in its decimal notation."""
+    return F.round(x.cast("double"), places)
 
 
-def round_half(x: Column, places: int) -> Column:
-    """Round half away from zero on a decimal, so that ties do not depend on binary noise."""
-    return F.round(x.cast("decimal(38,6)"), places).cast("double")
+def rounded_sum(total: Column, places: int) -> Column:
+    return F.round(total, places).cast("double")
+
+
+def rounded_mean(total: Column, count: Column, places: int) -> Column:
+    """An exact sum divided by a count, rounded once; null for no values.
+
+    The quotient keeps 18 places, fewer than which no mean of under 10^8 values can lie beside a
+    tie. Sums of 10^20 and more are divided as doubles.
+    """
+    quotient = total.try_cast("decimal(30,10)") / count.cast("decimal(12,0)")
+    plain = F.round(total.cast("double") / count, places)
+    return F.when(count > 0, F.coalesce(F.round(quotient, places).cast("double"), plain))
+
+
+def rounded_median(column: str, stored: int, places: int) -> Column:
+    """The median of values that carry ``stored`` places, rounded once."""
+    whole = F.median((F.col(column).cast("decimal(38,6)") * 10**stored).cast("double"))
+    return rounded_mean((whole * 2).cast("decimal(38,0)"), F.lit(2 * 10**stored), places)
 
 
 def ratio(numerator: Column, denominator: Column, scale: float | None = None) -> Column:

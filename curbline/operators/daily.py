@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import from_units, ratio, round_half, to_units
+from ..functions.scalars import exact, round_half, rounded_mean, rounded_sum
 from .contract import CURATED, unique_dimension
-from .order_stats import MAX_DISTINCT, MEDIAN_POSITIONS, median_of, order_statistics
+from .order_stats import MEDIAN_POSITIONS, median_of, order_statistics
 from .rules import PUBLISHED, Rule, any_flag, flag_rows, nulling_flags, reversal, trusted
 
 GROUP = ["date", "location_id"]
+MEASURED = ["trip_distance", "fare_amount", "total_amount"]
 
 
 def _keyed(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -26,36 +27,39 @@ def _keyed(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def row_stats(flagged: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
     """Every count and sum of a run, per group, over all rows in one pass.
 
-    Only integers are summed, so partial sums combine map-side and the result does not
-    depend on how the rows were split.
+    Only integers and decimals are summed, so partial sums combine map-side and the result does
+    not depend on how the rows were split. A measurement that is no finite number is no
+    observation; ``nonfinite`` counts the rows that hold one, and such a row stays a trip.
     """
     cancels = reversal(rules)
 
     def published(column: str) -> str:
         return f"CASE WHEN {PUBLISHED} THEN {trusted(column, rules)} END"
 
-    def units(x: str) -> str:
-        return f"sum({to_units(x)})"
+    def total_of(x: str) -> str:
+        return f"try_sum({exact(x)})"
 
     miles, minutes, fare = (
         published(c) for c in ("trip_distance", "duration_min", "fare_amount")
     )
+    odd = " OR ".join(f"({c} IS NOT NULL AND {exact(c)} IS NULL)" for c in MEASURED)
     total = trusted("total_amount", rules)
     measures = {
         "input": "count(1)",
         "published": f"count_if({PUBLISHED})",
         "reversed": f"count_if({cancels})",
         "rejected": f"count_if(NOT ({PUBLISHED}) AND NOT {cancels})",
+        "nonfinite": f"count_if({odd})",
         **{f"r_{r.name}": f"count_if({r.flag})" for r in rules},
         **{f"x_{c}": f"count_if({any_flag(f)})" for c, f in nulling_flags(rules).items()},
-        "distance_obs": f"count({miles})",
-        "distance_units": units(miles),
+        "distance_obs": f"count({exact(miles)})",
+        "distance_sum": total_of(miles),
         "duration_obs": f"count({minutes})",
         "duration_s": f"sum(CASE WHEN {minutes} IS NOT NULL THEN duration_s END)",
-        "fare_obs": f"count({fare})",
-        "fare_units": units(fare),
-        "revenue_units": units(published("total_amount")),
-        "refund_units": units(f"CASE WHEN {cancels} THEN {total} END"),
+        "fare_obs": f"count({exact(fare)})",
+        "fare_sum": total_of(fare),
+        "revenue_sum": total_of(published("total_amount")),
+        "refund_sum": total_of(f"CASE WHEN {cancels} THEN {total} END"),
     }
     return flagged.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in measures.items()])
 
@@ -68,20 +72,20 @@ def daily_medians(
     flagged: DataFrame,
     rules: Sequence[Rule],
     by: Sequence[str] = ("source_month",),
-    row_bound: int | None = None,
-    max_distinct: int = MAX_DISTINCT,
 ) -> DataFrame:
-    """Exact medians of distance and duration over the published rows."""
+    """Exact medians of distance (miles) and duration (seconds) over the published rows' finite
+    values."""
     keys = [*by, *GROUP]
-    miles, minutes = trusted("trip_distance", rules), trusted("duration_min", rules)
+    miles = trusted("trip_distance", rules)
+    seconds = f"CASE WHEN {trusted('duration_min', rules)} IS NOT NULL THEN CAST(duration_s AS DOUBLE) END"
     values = (
         _keyed(flagged.filter(PUBLISHED), rules)
-        .selectExpr(*keys, f"stack(2, 0, {miles}, 1, {minutes}) AS (measure, value)")
-        .where("value IS NOT NULL")
+        .selectExpr(*keys, f"stack(2, 0, {miles}, 1, {seconds}) AS (measure, value)")
+        .where(f"{exact('value')} IS NOT NULL")
+    )
+    found = order_statistics(values, [*keys, "measure"], "value", MEDIAN_POSITIONS).withColumn(
+        "median", median_of(F.col("p0"), F.col("p1"))
     )
-    found = order_statistics(
-        values, [*keys, "measure"], "value", MEDIAN_POSITIONS, row_bound, max_distinct
-    ).withColumn("median", median_of(F.col("p0"), F.col("p1")))
 
     def of(measure: int, name: str) -> Column:
         return F.max(F.when(F.col("measure") == measure, F.col("median"))).alias(name)
@@ -108,21 +112,24 @@ def curated_rows(
         rows = rows.alias("s").join(medians.alias("m"), same, "left").select(
             "s.*", "m.median_distance", "m.median_duration"
         )
-    miles, fares = from_units(F.col("distance_units")), from_units(F.col("fare_units"))
-    minutes = F.col("duration_s") / F.lit(60.0)
+    def mean(total: str, obs: str, places: int, parts: int = 1) -> Column:
+        return rounded_mean(F.col(total), F.col(obs) * parts, places)
+
+    # The median of whole seconds is a whole number of half seconds.
+    halves = (F.col("median_duration") * 2).cast("bigint")
     money = {
-        name: F.coalesce(round_half(from_units(F.col(units)), 2), F.lit(0.0))
-        for name, units in (("yellow_revenue_usd", "revenue_units"), ("refunds_usd", "refund_units"))
+        name: F.coalesce(rounded_sum(F.col(total), 2), F.lit(0.0))
+        for name, total in (("yellow_revenue_usd", "revenue_sum"), ("refunds_usd", "refund_sum"))
     }
     return (
         rows.withColumns(
             {
                 "trips": F.col("published"),
-                "avg_distance_mi": round_half(ratio(miles, F.col("distance_obs")), 3),
+                "avg_distance_mi": mean("distance_sum", "distance_obs", 3),
                 "median_distance_mi": round_half(F.col("median_distance"), 3),
-                "avg_duration_min": round_half(ratio(minutes, F.col("duration_obs")), 2),
-                "median_duration_min": round_half(F.col("median_duration"), 2),
-                "avg_fare_usd": round_half(ratio(fares, F.col("fare_obs")), 2),
+                "avg_duration_min": mean("duration_s", "duration_obs", 2, 60),
+                "median_duration_min": rounded_mean(halves, F.lit(120), 2),
+                "avg_fare_usd": mean("fare_sum", "fare_obs", 2),
                 **money,
             }
         )
@@ -141,26 +148,19 @@ def zone_day(
     rules: Sequence[Rule],
     by: Sequence[str] = ("source_month",),
     medians: bool = True,
-    row_bound: int | None = None,
-    max_distinct: int = MAX_DISTINCT,
 ) -> DataFrame:
     """Trips of any number of months to the published table.
 
-    ``medians=False`` leaves the two median columns null and saves their pass. ``row_bound`` is
-    a known bound on the rows; without it the trips are counted, which for a plain scan reads
-    just the row counts in the file footers.
+    ``medians=False`` leaves the two median columns null and saves their pass.
     """
     flagged = flag_rows(trips, rules)
-    middle = None
-    if medians:
-        bound = trips.count() if row_bound is None else row_bound
-        middle = daily_medians(flagged, rules, by, bound, max_distinct)
+    middle = daily_medians(flagged, rules, by) if medians else None
     return curated_rows(daily_stats(flagged, rules, by), middle, zones, by)
 
 
 def count_columns(stats: DataFrame) -> list[str]:
     """The row counts among the statistics; sums of measurements stay with their group."""
-    whole = ("input", "published", "reversed", "rejected")
+    whole = ("input", "published", "reversed", "rejected", "nonfinite")
     return [c for c in stats.columns if c in whole or c.startswith(("r_", "x_"))]
 
 

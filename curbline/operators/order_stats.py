@@ -1,28 +1,23 @@
-"""Exact order statistics per group, safe when one group holds most of the rows.
-
-Three steps, each paid only when the one before it says so:
-
-1. Values are first counted per (group, value), which shrinks repeated values before any
-   shuffle and spreads a hot group over all tasks. A window then walks the distinct values of
-   a group; it sorts and spills, so a group costs disk, not memory.
-2. If the data is larger than ``max_distinct`` rows, an approximate distinct count per group
-   (bounded sketches, merged map-side) finds groups whose window would be too long.
-3. For those groups only, the wanted ranks are closed in on: each round splits the remaining
-   interval into ``BUCKETS`` equal parts, counts rows per part map-side, and keeps the part
-   that holds the rank, until what is left fits one window. No sampling, no cap: the ranks
-   found are exact.
+"""Exact order statistics per group, by one plan whatever the size of a group.
+
+1. Values are counted per (group, value): repeated values shrink before any shuffle, and a
+   group that holds most rows is spread over all tasks.
+2. The counts are added up per (group, bucket). Buckets are fixed intervals, 32 to a doubling of
+   the value, so a group has at most some ten thousand of them, and a running sum over the buckets
+   tells which one holds a rank.
+3. Only the values of those buckets are walked, each bucket of each group on its own.
+
+Nothing is sampled, capped or brought to the driver, and no figure of the data changes the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKETS = 4096
-MAX_DISTINCT = 20_000_000  # distinct values of one group that one window task may walk
-MAX_ROUNDS = 12
-MAX_BROADCAST_ROWS = 500_000
+PER_DOUBLING = 32.0
+LAST_BUCKET = 40_000  # above the largest finite double; infinities share it
 
 Position = Callable[[Column], Column]  # rows in the group -> zero-based rank
 
@@ -32,146 +27,71 @@ MEDIAN_POSITIONS: list[Position] = [
 ]
 
 
-def _small(spark, rows, schema: T.StructType) -> DataFrame:
-    """Collected rows as a table, broadcast while that is cheap and joined by shuffle beyond."""
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-
-
-def _same(keys: Sequence[str], left: str, right: str) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return condition
-
-
-def _picked(keys, value, positions, at_or_after, before, size) -> list[Column]:
-    def holds(position: Position) -> Column:
-        rank = position(F.col(size))
-        return (F.col(at_or_after) <= rank) & (rank < F.col(before))
-
-    return [
-        F.max(F.when(holds(p), F.col(value))).alias(f"p{i}") for i, p in enumerate(positions)
-    ]
+def bucket_of(value: str) -> Column:
+    """The number of a value's interval. It grows with the value; NaN comes last, as in sorting."""
+    size = F.least(F.log2(F.abs(value) + 1.0) * PER_DOUBLING, F.lit(float(LAST_BUCKET)))
+    number = F.floor(size).cast("int")
+    return (
+        F.when(F.isnan(F.col(value).cast("double")), LAST_BUCKET + 1)
+        .when(F.col(value) < 0, -number)
+        .otherwise(number)
+    )
 
 
 def _upto(keys: Sequence[str], order: str):
     return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def _by_window(values: DataFrame, keys, value, positions) -> DataFrame:
-    counted = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = (
-        counted.withColumn("_end", F.sum("_c").over(_upto(keys, value)))
-        .withColumn("_n", F.sum("_c").over(W.partitionBy(*keys)))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
-    return ranked.groupBy(*keys).agg(
-        F.max("_n").alias("n"), *_picked(keys, value, positions, "_start", "_end", "_n")
-    )
-
-
-def hot_groups(values: DataFrame, keys, value, max_distinct: int) -> DataFrame:
-    """Groups with more distinct values than one window should walk.
+def order_statistics(
+    values: DataFrame, keys: Sequence[str], value: str, positions: Sequence[Position]
+) -> DataFrame:
+    """(keys, n, p0, p1, ...): the values at the given zero-based ranks of each group.
 
-    There are at most (rows / max_distinct) of them.
+    ``values`` must hold no null values; keys may be null.
     """
-    # 15 % below the limit covers the sketch's error of 5 % with three standard deviations
-    sketch = F.approx_count_distinct(value).alias("_d")
-    return values.groupBy(*keys).agg(sketch).where(F.col("_d") > 0.85 * max_distinct).drop("_d")
-
-
-def _narrowed(values: DataFrame, hot: DataFrame, keys, value, positions, max_distinct) -> DataFrame:
-    spark = values.sparkSession
-    v = F.col(f"v.{value}")
-    whole = (
-        values.alias("v")
-        .join(hot.alias("t"), _same(keys, "v", "t"))
-        .groupBy(*[F.col(f"v.{k}").alias(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    )
-    targets = whole.select(
-        *keys, "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("left"),
-        F.posexplode(F.array(*[p(F.col("n")) for p in positions])).alias("pos", "rank"),
-    )
-    columns = [*keys, "pos", "rank", "n", "lo", "hi", "below", "left"]
-    # One row per hot group and rank: at most (rows / max_distinct) * ranks, so it may pass
-    # through the driver, which also cuts the lineage between rounds.
-    schema = _nullable(targets.select(columns).schema)
-    rows = targets.select(columns).collect()
-
-    carried = [F.col(f"t.{c}").alias(c) for c in [*keys, "pos", "rank", "n", "below"]]
-    inside = v.between(F.col("t.lo"), F.col("t.hi"))
-    for _ in range(MAX_ROUNDS):
-        if all(r["lo"] == r["hi"] or r["left"] <= max_distinct for r in rows):
-            break
-        share = (v - F.col("t.lo")) / (F.col("t.hi") - F.col("t.lo"))
-        part = F.least(F.lit(BUCKETS - 1), F.floor(share * F.lit(float(BUCKETS))).cast("int"))
-        part = F.when(F.col("t.hi") > F.col("t.lo"), part).otherwise(F.lit(0))
-        parts = (
-            values.alias("v")
-            .join(_small(spark, rows, schema).alias("t"), _same(keys, "v", "t") & inside)
-            .groupBy(*carried, part.alias("part"))
-            .agg(F.count(F.lit(1)).alias("left"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-        )
-        end = F.col("below") + F.sum("left").over(_upto([*keys, "pos"], "part"))
-        rows = (
-            parts.withColumn("_end", end)
-            .withColumn("_start", F.col("_end") - F.col("left"))
-            .where((F.col("_start") <= F.col("rank")) & (F.col("rank") < F.col("_end")))
-            .withColumn("below", F.col("_start"))
-            .select(columns)
-            .collect()
-        )
-
+    keys = list(keys)
+    inner = [f"_k{i}" for i in range(len(keys))]
     counted = (
-        values.alias("v")
-        .join(_small(spark, rows, schema).alias("t"), _same(keys, "v", "t") & inside)
-        .groupBy(*carried, v.alias(value))
+        values.groupBy(*[F.col(k).alias(i) for k, i in zip(keys, inner)], F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_b", bucket_of("_v"))
     )
-    end = F.col("below") + F.sum("_c").over(_upto([*keys, "pos"], value))
-    found = counted.withColumn("_end", end).where(
-        (F.col("_end") - F.col("_c") <= F.col("rank")) & (F.col("rank") < F.col("_end"))
+
+    def holds(position: Position, start: str, end: str) -> Column:
+        rank = position(F.col("_n"))
+        return (F.col(start) <= rank) & (rank < F.col(end))
+
+    any_of = [holds(p, "_first", "_after") for p in positions]
+    wanted = any_of[0]
+    for one in any_of[1:]:
+        wanted = wanted | one
+    buckets = (
+        counted.groupBy(*inner, "_b")
+        .agg(F.sum("_c").alias("_size"))
+        .withColumn("_after", F.sum("_size").over(_upto(inner, "_b")))
+        .withColumn("_n", F.sum("_size").over(W.partitionBy(*inner)))
+        .withColumn("_first", F.col("_after") - F.col("_size"))
+        .where(wanted)
+        .select(*inner, "_b", "_first", "_n")
     )
-    at = [F.when(F.col("pos") == i, F.col(value)) for i in range(len(positions))]
-    return found.groupBy(*keys).agg(
-        F.max("n").alias("n"), *[F.max(x).alias(f"p{i}") for i, x in enumerate(at)]
+    # The join is null-safe on the keys, since a group may have a null key.
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in inner]
+    walked = (
+        counted.alias("c")
+        .join(buckets.alias("b"), [F.col("c._b") == F.col("b._b"), *same])
+        .select(*[F.col(f"c.{k}").alias(k) for k in inner], "c._b", "_v", "_c", "_first", "_n")
+        .withColumn("_end", F.col("_first") + F.sum("_c").over(_upto([*inner, "_b"], "_v")))
+        .withColumn("_start", F.col("_end") - F.col("_c"))
     )
-
-
-def order_statistics(
-    values: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    positions: Sequence[Position],
-    row_bound: int | None = None,
-    max_distinct: int = MAX_DISTINCT,
-) -> DataFrame:
-    """(keys, n, p0, p1, ...): the values at the given zero-based ranks of each group.
-
-    ``values`` must hold no null values. ``row_bound`` is an upper bound on the rows of any
-    group that the caller already knows (a row count from file footers, the size of a
-    dimension); without it the values are counted first.
-    """
-    keys = list(keys)
-    bound = values.count() if row_bound is None else row_bound
-    if bound <= max_distinct:
-        return _by_window(values, keys, value, positions)
-    found = hot_groups(values, keys, value, max_distinct)
-    rows = found.collect()
-    if not rows:
-        return _by_window(values, keys, value, positions)
-    hot = _small(values.sparkSession, rows, _nullable(found.schema))
-    cold = values.alias("v").join(hot.alias("t"), _same(keys, "v", "t"), "left_anti")
-    return _by_window(cold, keys, value, positions).unionByName(
-        _narrowed(values, hot, keys, value, positions, max_distinct)
+    return walked.groupBy(*[F.col(i).alias(k) for k, i in zip(keys, inner)]).agg(
+        F.max("_n").alias("n"),
+        *[
+            F.max(F.when(holds(p, "_start", "_end"), F.col("_v"))).alias(f"p{i}")
+            for i, p in enumerate(positions)
+        ],
     )
 
 
 def median_of(low: Column, high: Column) -> Column:
-    return low + (high - low) * F.lit(0.5)
+    """Halfway between two values; equal ones stay as they are, also when they are infinite."""
+    return F.when(low == high, low).otherwise(low + (high - low) * F.lit(0.5))

@@ -34,7 +34,7 @@ def map_floor(zone_slices: DataFrame, outlined: DataFrame, share: float = MAP_SH
 def metric_support(zone_slices: DataFrame, outlined: DataFrame, share: float = MAP_SHARE):
     """Every metric of every zone and month, and whether it stands above the map's floor."""
     long = metrics_long(zone_slices, [MONTH, "location_id"])
-    floor = F.broadcast(map_floor(zone_slices, outlined, share))
+    floor = map_floor(zone_slices, outlined, share)
     return long.join(floor, MONTH).withColumn("solid", solid(F.col("floor")))
 
 
@@ -45,7 +45,7 @@ def metric_coverage(zone_slices: DataFrame) -> DataFrame:
 
 def _rankable(zone_slices: DataFrame) -> DataFrame:
     long = metrics_long(zone_slices, [MONTH, *ZONE])
-    floor = F.broadcast(rank_floor(zone_slices))
+    floor = F.broadcast(rank_floor(zone_slices))  # one row per month
     return long.join(floor, MONTH).where(solid(F.col("floor")))
 
 
@@ -116,13 +116,12 @@ def quantile_classes(
     outlined: DataFrame,
     share: float = MAP_SHARE,
     classes: int = CLASSES,
-    zone_bound: int | None = None,
 ) -> DataFrame:
     """Colour class of every outlined zone per month and metric.
 
-    Edges stand on all computable zones, ``shown`` only on those above the floor, so moving
-    the floor never recolours a zone. Edge i is the value at rank floor(i * n / classes); the
-    class is the number of edges at or below the value.
+    Edge i is the value at rank floor(i * n / classes) of all zones that have the metric, and a
+    zone's class is the number of edges at or below its value. ``shown`` tells the zones above the
+    floor; it has no part in the edges.
     """
     drawn = zone_slices.join(outlined.select("location_id"), "location_id", "left_semi")
     known = (
@@ -133,9 +132,8 @@ def quantile_classes(
     )
     cuts = range(1, classes)
     ranks = [lambda n, i=i: F.floor(F.lit(i) * n / F.lit(classes)).cast("bigint") for i in cuts]
-    bound = zone_bound if zone_bound is not None else outlined.count()
     edges = order_statistics(
-        known.select(MONTH, "metric", "value"), [MONTH, "metric"], "value", ranks, bound
+        known.select(MONTH, "metric", "value"), [MONTH, "metric"], "value", ranks
     )
     at_or_below = [(F.col("value") >= F.col(f"p{i}")).cast("int") for i in range(classes - 1)]
     return known.join(F.broadcast(edges), [MONTH, "metric"]).select(

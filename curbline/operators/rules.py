@@ -11,9 +11,9 @@ from ..config import Thresholds
 from ..functions.scalars import duration_seconds
 from .contract import NEEDED
 
-REJECT = "reject"  # the row is not trusted
-REVERSAL = "reversal"  # the row is trusted, but it cancels a trip instead of being one
-OBSERVE = "observe"  # counted only
+REJECT = "reject"  # quarantine
+REVERSAL = "reversal"  # book as a refund
+OBSERVE = "observe"  # change nothing
 ROW_ACTIONS = (REJECT, REVERSAL)
 MEASURES = ["duration_min", *NEEDED]
 
@@ -38,10 +38,9 @@ class Rule:
 
 
 def default_rules(limits: Thresholds = Thresholds()) -> list[Rule]:
-    """Rarest first: a row keeps the label of the first row-level rule it breaks."""
+    """The nine rules. Their order decides the label of a row that breaks several row-level ones."""
     pickup, month = "tpep_pickup_datetime", "source_month"
     outside = f"{pickup} < {month} OR {pickup} >= add_months({month}, 1)"
-    # below a minute the quotient says nothing, only the distance itself can be judged
     too_fast = (
         "duration_min > 1 AND"
         f" try_divide(trip_distance, duration_min / 60.0D) > {limits.max_speed_mph}D"

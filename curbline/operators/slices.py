@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.metrics import SUMS
-from ..functions.scalars import is_weekend, ratio, round_half
+from ..functions.scalars import is_weekend, ratio, rounded_median
 
 MONTH = "source_month"
 ZONE = ["location_id", "borough", "zone"]
@@ -46,8 +46,8 @@ def add_up(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
 def daily_medians() -> list[Column]:
     """Medians of daily medians; a zone's month holds at most one row per day."""
     return [
-        round_half(F.median("median_distance_mi"), 2).alias("median_dist"),
-        round_half(F.median("median_duration_min"), 2).alias("median_dur"),
+        rounded_median("median_distance_mi", 3, 2).alias("median_dist"),
+        rounded_median("median_duration_min", 2, 2).alias("median_dur"),
     ]
 
 

@@ -10,7 +10,21 @@ import re
 
 
 def half(x: str, places: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,6)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+
+
+UNIT = 10**10  # sums are whole numbers of ten-billionths
+
+
+def units(x: str) -> str:
+    return f"CAST(round({x} * {UNIT}.0::DOUBLE) AS HUGEINT)"
+
+
+def half_mean(total: str, count: str, places: int, unit: int = UNIT) -> str:
+    """total / unit / count rounded half away from zero in whole numbers."""
+    step = 10**places
+    whole = f"(2 * abs({total}) * {step} + {unit} * {count}) // (2 * {unit} * {count})"
+    return f"CASE WHEN {count} > 0 THEN sign({total}) * CAST({whole} AS DOUBLE) / {step} END"
 
 
 def ratio(n: str, d: str, scale: str = "") -> str:
@@ -38,11 +52,7 @@ NEEDED = (
     "tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, trip_distance, fare_amount,"
     " total_amount"
 )
-COUNTS = ["input", "published", "reversed", "rejected", *[f"r_{r}" for r in RULES], *[f"x_{c}" for c in NULLED]]
-
-
-def units(x: str) -> str:
-    return f"CAST({x} * 10000.0 AS BIGINT)"
+COUNTS = ["input", "published", "reversed", "rejected", "nonfinite", *[f"r_{r}" for r in RULES], *[f"x_{c}" for c in NULLED]]
 
 
 def counts_of() -> str:
@@ -51,6 +61,7 @@ def counts_of() -> str:
         "count(*) FILTER (reject_reason IS NULL) AS published",
         "count(*) FILTER (reject_reason = 'reversal') AS reversed",
         "count(*) FILTER (reject_reason = 'out_of_month') AS rejected",
+        "count(*) FILTER (NOT isfinite(trip_distance + fare_amount + total_amount)) AS nonfinite",
     ]
     parts += [f"count(*) FILTER (v_{r}) AS r_{r}" for r in RULES]
     parts += [f"count(*) FILTER ({f}) AS x_{c}" for c, f in NULLED.items()]
@@ -81,8 +92,10 @@ ADDITIVE = ", ".join(
     ]
 )
 DAILY_MEDIANS = (
-    f"{half('median(median_distance_mi)', 2)} AS median_dist,"
-    f" {half('median(median_duration_min)', 2)} AS median_dur"
+    half_mean("CAST(2 * median(round(median_distance_mi * 1000)) AS HUGEINT)", "1", 2, 2000)
+    + " AS median_dist, "
+    + half_mean("CAST(2 * median(round(median_duration_min * 100)) AS HUGEINT)", "1", 2, 200)
+    + " AS median_dur"
 )
 ADD_UP = ", ".join(
     f"CAST(sum({c}) AS {'DECIMAL(38,4)' if c in MONEY else 'BIGINT'}) AS {c}" for c in SUMS
@@ -185,7 +198,7 @@ BLOCKS: dict[str, str] = {
                median(trip_distance) FILTER (reject_reason IS NULL) AS dist_m,
                count(duration_min) FILTER (reject_reason IS NULL) AS duration_obs,
                sum(duration_s) FILTER (reject_reason IS NULL AND duration_min IS NOT NULL) AS dur_s,
-               median(duration_min) FILTER (reject_reason IS NULL) AS dur_m,
+               median(CASE WHEN duration_min IS NOT NULL THEN duration_s END) FILTER (reject_reason IS NULL) AS dur_m,
                count(fare_amount) FILTER (reject_reason IS NULL) AS fare_obs,
                sum({units('fare_amount')}) FILTER (reject_reason IS NULL) AS fare_u,
                sum({units('total_amount')}) FILTER (reject_reason IS NULL) AS rev_u,
@@ -193,13 +206,13 @@ BLOCKS: dict[str, str] = {
         FROM clean WHERE reject_reason IS NULL OR reject_reason = 'reversal' GROUP BY ALL""",
     "curated": f"""
         SELECT source_month, date, location_id, borough, zone, service_zone, trips,
-               {half("CAST(dist_u AS DOUBLE) / 10000.0::DOUBLE / distance_obs", 3)} AS avg_distance_mi,
+               {half_mean("dist_u", "distance_obs", 3)} AS avg_distance_mi,
                {half('dist_m', 3)} AS median_distance_mi, distance_obs,
-               {half("CAST(dur_s AS DOUBLE) / 60.0::DOUBLE / duration_obs", 2)} AS avg_duration_min,
-               {half('dur_m', 2)} AS median_duration_min, duration_obs,
-               {half("CAST(fare_u AS DOUBLE) / 10000.0::DOUBLE / fare_obs", 2)} AS avg_fare_usd, fare_obs,
-               coalesce({half("CAST(rev_u AS DOUBLE) / 10000.0::DOUBLE", 2)}, 0) AS yellow_revenue_usd,
-               coalesce({half("CAST(ref_u AS DOUBLE) / 10000.0::DOUBLE", 2)}, 0) AS refunds_usd,
+               {half_mean("CAST(dur_s AS HUGEINT)", "duration_obs", 2, 60)} AS avg_duration_min,
+               {half_mean("CAST(2 * dur_m AS HUGEINT)", "1", 2, 120)} AS median_duration_min, duration_obs,
+               {half_mean("fare_u", "fare_obs", 2)} AS avg_fare_usd, fare_obs,
+               coalesce({half_mean("rev_u", "1", 2)}, 0) AS yellow_revenue_usd,
+               coalesce({half_mean("ref_u", "1", 2)}, 0) AS refunds_usd,
                {half("yellow_revenue_usd + refunds_usd", 2)} AS net_revenue_usd
         FROM groups LEFT JOIN zones USING (location_id)""",
     "month_counts": f"SELECT source_month, {counts_of()} FROM flagged GROUP BY source_month",
@@ -249,7 +262,8 @@ BLOCKS: dict[str, str] = {
     "outputs": "SELECT source_month FROM state WHERE month(source_month) <> 9",
     "candidates": """
         SELECT CAST(m AS DATE) AS source_month
-        FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 MONTH) t(m)""",
+        FROM (SELECT unnest(generate_series(CAST(min(source_month) AS TIMESTAMP),
+                  CAST(max(source_month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS m FROM inventory) t""",
     "detected": """
         SELECT c.source_month, i.source_month IS NOT NULL AS published, i.etag,
                o.source_month IS NOT NULL AS has_output,
@@ -424,7 +438,8 @@ STATEMENTS: dict[str, str] = {
                        {ratio('c.x_trip_distance', 'c.input')} AS null_distance_ratio,
                        {ratio('c.x_duration_min', 'c.input')} AS null_duration_ratio,
                        c.input / CAST(p.input AS DOUBLE) - 1 AS volume_delta
-                FROM (SELECT make_date(2025, CAST(i AS INT), 1) AS source_month FROM range(1, 5) t(i)) m
+                FROM (SELECT DISTINCT source_month FROM trips
+                      UNION ALL SELECT CAST(max(source_month) + INTERVAL 1 MONTH AS DATE) FROM trips) m
                 LEFT JOIN month_counts c USING (source_month)
                 LEFT JOIN month_counts p ON p.source_month = m.source_month - INTERVAL 1 MONTH))""",
     "volume_delta": """
@@ -441,7 +456,7 @@ STATEMENTS: dict[str, str] = {
                lag(input) OVER (PARTITION BY source_month ORDER BY written_at) AS previous_version_input,
                CAST(0.08 AS DOUBLE) AS max_reversal_ratio
         FROM runs""",
-    "recent_runs": f"SELECT {FLAT_RUN} FROM runs ORDER BY source_month DESC, written_at DESC LIMIT 5",
+    "recent_runs": f"SELECT {FLAT_RUN} FROM runs ORDER BY source_month DESC, written_at DESC LIMIT 14",
     "recent_checks": "SELECT *, (SELECT count(*) FROM checks) AS total FROM checks ORDER BY checked_at DESC LIMIT 14",
     "upgrade_runs": """
         SELECT run_id,

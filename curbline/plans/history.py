@@ -15,7 +15,7 @@ RUN_SCHEMA = """
                   sha256: STRING>,
     schema STRUCT<columns: INT, extra: ARRAY<STRING>, missing_optional: ARRAY<STRING>>,
     rows STRUCT<input: BIGINT, published: BIGINT, reversed: BIGINT, rejected: BIGINT,
-                output: BIGINT, prev_version_input: BIGINT>,
+                output: BIGINT, prev_version_input: BIGINT, nonfinite: BIGINT>,
     rules MAP<STRING, BIGINT>, nulled MAP<STRING, BIGINT>, thresholds MAP<STRING, DOUBLE>,
     seconds DOUBLE
 """

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import secrets
 import time
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.errors import AnalysisException
@@ -19,7 +19,7 @@ from ..operators.contract import SchemaReport
 from ..sources import months as M
 from ..sources.layout import Layout
 from . import detect as D
-from .history import CHECK_SCHEMA, RUN_SCHEMA, latest_runs
+from .history import CHECK_SCHEMA, RUN_SCHEMA, latest_runs, upgrade_runs
 
 VERSION = "0.1.0"
 MONTH = "source_month"
@@ -41,8 +41,8 @@ def _now() -> datetime:
 
 
 def new_id(now: datetime) -> str:
-    """A sortable time stamp and a random token."""
-    return f"{now:%Y-%m-%dT%H:%M:%SZ}-{secrets.token_hex(3)}"
+    """Unique, and in the order of time where the times differ."""
+    return f"{now:%Y%m%d.%H%M%S}.{uuid.uuid4()}"
 
 
 def read_table(spark: SparkSession, layout: Layout, name: str, schema: str) -> DataFrame:
@@ -56,7 +56,8 @@ def read_table(spark: SparkSession, layout: Layout, name: str, schema: str) -> D
 
 
 def read_runs(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout, "runs", RUN_SCHEMA)
+    """All runs; those of older versions come translated and marked."""
+    return upgrade_runs(read_table(spark, layout, "runs", RUN_SCHEMA))
 
 
 def read_checks(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -119,7 +120,9 @@ def _run_rows(
             return F.create_map().cast("map<string,bigint>")
         return F.create_map(*[x for n in names for x in (F.lit(n), F.col(prefix + n))])
 
-    kinds = ["input", "published", "reversed", "rejected", "output", "prev_version_input"]
+    kinds = [
+        "input", "published", "reversed", "rejected", "output", "prev_version_input", "nonfinite"
+    ]
     applied = [F.lit(x) for pair in limits.limits().items() for x in pair]
     return rows.select(
         F.concat(F.lit(batch + "-"), F.date_format(MONTH, "yyyy-MM")).alias("run_id"),
@@ -139,6 +142,20 @@ def _run_rows(
     )
 
 
+def _readable(
+    spark: SparkSession, layout: Layout, schemas: dict, rules: Sequence[R.Rule]
+) -> dict[date, str]:
+    """Which months cannot be read through, and why. Only asked when the pass over all failed."""
+    broken = {}
+    for month, files in schemas.items():
+        rows = R.flag_rows(M.read_trips(spark, layout, {month: files}), rules)
+        try:
+            daily.daily_stats(rows, rules).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # whatever a reader or a rule raises
+            broken[month] = f"cannot be read: {str(error).strip().splitlines()[0][:300]}"
+    return broken
+
+
 def publish_months(
     spark: SparkSession,
     layout: Layout,
@@ -152,9 +169,11 @@ def publish_months(
 ) -> list[date]:
     """Publish every month that passes; raise at the end when any did not.
 
-    All months are one job: schema contracts first, then one pass of statistics, then the
-    gates, and only then anything is written. The run rows go last, so a month counts as
-    published when its run is there.
+    All months are one job: the contract of every file, one pass of statistics, the gates, and
+    only then writing. A month whose files cannot be read through is left out and named, and the
+    others go on. The run rows and the fingerprints that were loaded go last, so a month counts as
+    published, and as loaded, when its run is there. Without an ``inventory`` the fingerprints are
+    those of the raw files.
     """
     started, now = time.monotonic(), _now()
     rules = R.default_rules(limits) if rules is None else rules
@@ -165,10 +184,11 @@ def publish_months(
             schemas[month], reports[month] = M.check_month(spark, layout, month)
         except DataQualityError as broken:
             failures[month] = str(broken)
+    if schemas and inventory is None:
+        inventory = M.file_inventory(spark, layout)
     passed: list[date] = []
-    if schemas:
-        trips = M.read_trips(spark, layout, schemas)
-        flagged = R.flag_rows(trips, rules)
+    while schemas:
+        flagged = R.flag_rows(M.read_trips(spark, layout, schemas), rules)
         # Days x zones rows, used by the gates, the published table and the run rows.
         stats = daily.daily_stats(flagged, rules).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -176,17 +196,24 @@ def publish_months(
             runs = read_runs(spark, layout)
             earlier = latest_runs(runs).select(MONTH, F.col("rows.input").alias("input"))
             wanted = spark.createDataFrame([(m,) for m in schemas], f"{MONTH} DATE")
-            verdicts = gates.gate_results(metrics, limits, wanted, earlier).collect()
+            try:
+                verdicts = gates.gate_results(metrics, limits, wanted, earlier).collect()
+            except Exception:
+                broken = _readable(spark, layout, schemas, rules)
+                if not broken:
+                    raise
+                failures |= broken
+                schemas = {m: f for m, f in schemas.items() if m not in broken}
+                continue
             passed = sorted(v[MONTH] for v in verdicts if v["passed"])
             failures |= {v[MONTH]: f"gate {v['failed_gate']}" for v in verdicts if not v["passed"]}
             if passed:
                 chosen = F.col(MONTH).isin(passed)
                 totals = metrics.where(chosen)
                 rows = flagged.where(chosen)
-                counted = stats.where(chosen)
-                largest = counted.agg(F.max(F.greatest("distance_obs", "duration_obs"))).first()[0]
-                middle = daily.daily_medians(rows, rules, row_bound=largest or 0)
-                curated = daily.curated_rows(counted, middle, zones)
+                curated = daily.curated_rows(
+                    stats.where(chosen), daily.daily_medians(rows, rules), zones
+                )
                 M.replace_months(
                     curated,
                     layout.base("curated"),
@@ -202,6 +229,8 @@ def publish_months(
                     totals, rules, reports, runs, inventory, limits, layout, trigger, git_sha,
                     new_id(now), now, time.monotonic() - started,
                 ).write.mode("append").parquet(layout.table("runs"))
+                record_state(inventory.where(chosen), layout, now)
+            break
         finally:
             stats.unpersist()
     if failures:
@@ -210,6 +239,42 @@ def publish_months(
     return passed
 
 
+def process(
+    spark: SparkSession,
+    layout: Layout,
+    inventory: DataFrame,
+    today: date,
+    zones: DataFrame,
+    load: Callable[[date], None] | None = None,
+    first: str | None = None,
+    last: str | None = None,
+    force: bool = False,
+    limits: Thresholds = Thresholds(),
+    trigger: str = "scheduled",
+    git_sha: str | None = None,
+) -> list[date]:
+    """Detect what needs work, load what the raw copy lacks, publish, and remember what was loaded.
+
+    ``load`` brings the raw files of a month in; without it the raw files must be in place.
+    """
+    candidates = D.candidate_months(spark, today, first, last, limits)
+    outputs = spark.createDataFrame([(m,) for m in M.stored_months(spark, layout)], f"{MONTH} DATE")
+    state = read_state(spark, layout)
+    wanted = D.work(D.detect(candidates, inventory, state, outputs, force))
+    raw = spark.createDataFrame([(m,) for m in M.stored_months(spark, layout, "raw")], f"{MONTH} DATE")
+    # one row per month of the window
+    plan = D.ingest_plan(wanted, inventory, state, raw).orderBy(MONTH).collect()
+    for row in plan:
+        if row["action"] == "load" and load is not None:
+            load(row[MONTH])
+    months = sorted(r[MONTH] for r in plan if r["action"] != "unpublished")
+    if not months:
+        return []
+    return publish_months(
+        spark, layout, months, zones, limits, inventory=inventory, trigger=trigger, git_sha=git_sha
+    )
+
+
 def _without(totals: DataFrame, nothing: Column, layout: Layout, area: str) -> list[str]:
     """Paths of the months that have no row for an area: one row per month at most."""
     return [layout.month(area, r[MONTH]) for r in totals.where(nothing).select(MONTH).collect()]
@@ -229,8 +294,8 @@ def check_freshness(
 ) -> dict:
     """Judge the window, record the check and then raise if it found a problem.
 
-    The record is written either way, so a day without work still shows that it was checked.
-    ``record=False`` is for readers that must not write.
+    With ``record`` there is a record of every check, whatever it found and also when no month
+    needed work.
     """
     candidates = D.candidate_months(spark, today, first, last, limits)
     outputs = spark.createDataFrame([(m,) for m in M.stored_months(spark, layout)], f"{MONTH} DATE")

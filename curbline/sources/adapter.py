@@ -46,25 +46,19 @@ def trips(spark: SparkSession, sf_dir: str, delivery: bool = False) -> DataFrame
         "     WHEN k < 200 THEN 28800 + 60 * (k - 99) ELSE 90 + k % 3600 END AS dur_s",
     )
     start = "cast(source_month AS timestamp_ntz)"
-    # One struct per line item, unnested again: the trip columns become plain columns, as they
-    # are in a trip file. Otherwise every rule that filters or nulls would be expanded into the
-    # arithmetic above, many times over.
-    trip = f"""inline(array(named_struct(
-        'tpep_pickup_datetime', timestampadd(SECOND, off_s, {start}),
-        'tpep_dropoff_datetime', timestampadd(SECOND, off_s + dur_s, {start}),
-        'PULocationID', l_suppkey,
-        'trip_distance', CASE WHEN k BETWEEN 200 AND 299 THEN 0D WHEN k BETWEEN 300 AND 349 THEN 1000D
-            WHEN k BETWEEN 350 AND 399 THEN 99D ELSE l_quantity / 5 END,
-        'fare_amount', CASE WHEN k BETWEEN 400 AND 449 OR k BETWEEN 500 AND 649 THEN -price
-            ELSE price END,
-        'total_amount', CASE WHEN k BETWEEN 500 AND 649 THEN -price WHEN k BETWEEN 650 AND 659 THEN 0D
-            ELSE price END)))"""
-    return timed.selectExpr("source_month", *(["delivery"] if delivery else []), trip)
-
-
-def trip_count(spark: SparkSession, sf_dir: str) -> int:
-    """One trip per line item; answered from the file footers."""
-    return table(spark, sf_dir, "lineitem").count()
+    return timed.selectExpr(
+        "source_month",
+        *(["delivery"] if delivery else []),
+        f"timestampadd(SECOND, off_s, {start}) AS tpep_pickup_datetime",
+        f"timestampadd(SECOND, off_s + dur_s, {start}) AS tpep_dropoff_datetime",
+        "l_suppkey AS PULocationID",
+        "CASE WHEN k BETWEEN 200 AND 299 THEN 0D WHEN k BETWEEN 300 AND 349 THEN 1000D"
+        " WHEN k BETWEEN 350 AND 399 THEN 99D ELSE l_quantity / 5 END AS trip_distance",
+        "CASE WHEN k BETWEEN 400 AND 449 OR k BETWEEN 500 AND 649 THEN -price"
+        " ELSE price END AS fare_amount",
+        "CASE WHEN k BETWEEN 500 AND 649 THEN -price WHEN k BETWEEN 650 AND 659 THEN 0D"
+        " ELSE price END AS total_amount",
+    )
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def _order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(settled).alias("settled_n"),
         F.coalesce(F.sum(F.when(settled, F.col("o_orderkey"))), F.lit(0)).alias("settled_keys"),
         F.max(day).cast("timestamp_ntz").alias("last_order"),
-    ).persist()  # one row per month; inventory, state and outputs all start from it
+    )
 
 
 def _etag(n: str, keys: str) -> Column:
@@ -168,7 +168,14 @@ def outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(other)
 
 
+def month_span(months: DataFrame) -> DataFrame:
+    """All months from the first to the last of a table."""
+    return months.agg(F.min(MONTH).alias("first"), F.max(MONTH).alias("last")).select(
+        F.explode(F.expr("sequence(first, last, interval 1 month)")).alias(MONTH)
+    )
+
 
-def expected_months(spark: SparkSession) -> DataFrame:
+def expected_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The months of the trips and one more that has none."""
-    return spark.createDataFrame([(date(2025, m, 1),) for m in (1, 2, 3, 4)], f"{MONTH} DATE")
+    months = adapter.trips(spark, sf_dir).select(MONTH).distinct()
+    return months.union(months.agg(next_month(F.max(MONTH)).alias(MONTH)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -30,19 +31,51 @@ def is_absent(error: AnalysisException) -> bool:
     return any(word in str(error) for word in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
-def footer_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The schema of one month as its own files state it."""
+FOOTER_THREADS = 16
+
+
+def month_files(spark: SparkSession, path: str) -> list[str]:
+    """The files under a path, by one listing."""
     try:
-        return spark.read.parquet(path).schema
+        return sorted(spark.read.parquet(path).inputFiles())
     except AnalysisException as error:
         if is_absent(error):
             raise DataQualityError(f"nothing stored under {path}") from error
         raise
 
 
-def check_month(spark: SparkSession, layout: Layout, month: date) -> tuple[T.StructType, SchemaReport]:
-    schema = footer_schema(spark, layout.month("raw", month))
-    return schema, check_trips(schema)
+def footer_schemas(spark: SparkSession, files: Sequence[str]) -> dict[str, T.StructType]:
+    """The schema of every file as its own footer states it.
+
+    Spark merges footers but does not say which file differs, so each is asked for by itself,
+    several at a time: one small read per file of the months at hand, and no rows.
+    """
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        return dict(zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files)))
+
+
+def check_month(
+    spark: SparkSession, layout: Layout, month: date
+) -> tuple[dict[str, T.StructType], SchemaReport]:
+    """The schema of every file of a raw month, and how the month differs from the baseline.
+
+    A file that breaks the contract is named; extra columns are those of any file, missing ones
+    those that some file lacks.
+    """
+    schemas = footer_schemas(spark, month_files(spark, layout.month("raw", month)))
+    reports, broken = [], []
+    for path, schema in schemas.items():
+        try:
+            reports.append(check_trips(schema))
+        except DataQualityError as error:
+            broken.append(f"{path.rsplit('/', 1)[-1]}: {error}")
+    if broken:
+        raise DataQualityError("; ".join(broken))
+    return schemas, SchemaReport(
+        max(r.columns for r in reports),
+        sorted(set().union(*(r.extra for r in reports))),
+        sorted(set().union(*(r.missing_optional for r in reports))),
+    )
 
 
 def _stored(spark: SparkSession, base: str, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -51,17 +84,19 @@ def _stored(spark: SparkSession, base: str, paths: list[str], schema: T.StructTy
     return rows.withColumn(MONTH, F.make_date(F.col("year"), F.col("month"), F.lit(1)))
 
 
-def read_trips(spark: SparkSession, layout: Layout, schemas: dict[date, T.StructType]) -> DataFrame:
+def read_trips(
+    spark: SparkSession, layout: Layout, schemas: dict[date, dict[str, T.StructType]]
+) -> DataFrame:
     """The six needed columns of the given months, with their source month.
 
-    Months whose files agree on the needed types share one scan, so years of files are a few
-    scans, not one per month.
+    Files that agree on the needed types share one scan, so years of files are a few scans.
     """
     alike: dict[str, tuple[T.StructType, list[str]]] = {}
-    for month, schema in schemas.items():
-        needed = T.StructType([T.StructField(c, schema[c].dataType, True) for c in NEEDED])
-        _, paths = alike.setdefault(needed.simpleString(), (needed, []))
-        paths.append(layout.month("raw", month))
+    for files in schemas.values():
+        for path, schema in files.items():
+            needed = T.StructType([T.StructField(c, schema[c].dataType, True) for c in NEEDED])
+            _, paths = alike.setdefault(needed.simpleString(), (needed, []))
+            paths.append(path)
     canonical = [F.col(c).cast(CANONICAL[kind]).alias(c) for c, kind in REQUIRED.items()]
     scans = [
         _stored(spark, layout.base("raw"), paths, needed).select(MONTH, *canonical)
@@ -101,6 +136,11 @@ def partitions(curated: DataFrame) -> DataFrame:
     return curated.select("year", "month").distinct().orderBy("year", "month")
 
 
+def _month_of(path: str) -> date | None:
+    found = re.search(r"/year=(\d+)/month=(\d+)/", path)
+    return date(int(found[1]), int(found[2]), 1) if found else None
+
+
 def stored_months(spark: SparkSession, layout: Layout, area: str = "curated") -> list[date]:
     """The months that have a directory with files, also one without rows; oldest first."""
     try:
@@ -109,30 +149,33 @@ def stored_months(spark: SparkSession, layout: Layout, area: str = "curated") ->
         if is_absent(error):
             return []
         raise
-    found = (re.search(r"/year=(\d+)/month=(\d+)/", f) for f in files)
-    return sorted({date(int(m[1]), int(m[2]), 1) for m in found if m})
+    return sorted({m for m in map(_month_of, files) if m})
 
 
 def read_curated(spark: SparkSession, layout: Layout) -> DataFrame:
-    """All published months, after checking that each was written with the current columns."""
-    months = stored_months(spark, layout)
-    if not months:
-        raise DataQualityError(f"no published month under {layout.base('curated')}")
+    """All published months, after checking that every file has the current columns."""
+    base = layout.base("curated")
+    try:
+        files = month_files(spark, base)
+    except DataQualityError:
+        raise DataQualityError(f"no published month under {base}") from None
     schema = None
-    for month in months:
-        schema = footer_schema(spark, layout.month("curated", month))
-        check_curated(schema, f"{month:%Y-%m}")
+    for path, schema in footer_schemas(spark, files).items():
+        check_curated(schema, f"{_month_of(path):%Y-%m}")
+    if schema is None:
+        raise DataQualityError(f"no published month under {base}")
     needed = T.StructType([schema[c] for c in ANALYTICS_COLUMNS])
-    paths = [layout.month("curated", m) for m in months]
-    return _stored(spark, layout.base("curated"), paths, needed).select(MONTH, *ANALYTICS_COLUMNS)
+    return _stored(spark, base, [base], needed).select(MONTH, *ANALYTICS_COLUMNS)
 
 
 def file_inventory(spark: SparkSession, layout: Layout, content_hash: bool = False) -> DataFrame:
-    """Fingerprint per raw month from its files: (source_month, url, etag, last_modified, bytes).
+    """Fingerprint per raw month from its files: (source_month, url, etag, last_modified, bytes,
+    sha256).
 
-    The fingerprint combines name, size and time of every file in any order. With
-    ``content_hash`` it also digests the contents, which reads every file as one row and is
-    therefore only for files that fit a task.
+    The fingerprint combines name, size and time of every file in any order. With ``content_hash``
+    a month also has the digest of its files' contents. Spark hands a file's content to a task as
+    one value, so that is for files below 2 GB; larger ones fail with Spark's own error. Without it
+    ``sha256`` is null.
     """
     files = (
         spark.read.format("binaryFile")
@@ -142,13 +185,15 @@ def file_inventory(spark: SparkSession, layout: Layout, content_hash: bool = Fal
     )
     part = r"/year=(\d{4})/month=(\d{2})/"
     year, month = (F.regexp_extract("path", part, i).cast("int") for i in (1, 2))
-    marks = [F.element_at(F.split("path", "/"), -1), F.col("length"), F.col("modificationTime")]
-    if content_hash:
-        marks = [F.element_at(F.split("path", "/"), -1), F.sha2("content", 256)]
+    name = F.element_at(F.split("path", "/"), -1)
+    content = F.sha2("content", 256) if content_hash else F.lit(None).cast("string")
     utc = F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz"))
+    # A month's files are few; their names and digests are put in order before they are joined.
+    marks = F.array_sort(F.collect_list(F.concat_ws(":", name, "digest")))
     return (
         files.withColumn(MONTH, F.make_date(year, month, F.lit(1)))
-        .withColumn("mark", F.xxhash64(*marks))
+        .withColumn("mark", F.xxhash64(name, "length", "modificationTime"))
+        .withColumn("digest", content)
         .groupBy(MONTH)
         .agg(
             F.min(F.regexp_replace("path", r"/[^/]*$", "")).alias("url"),
@@ -157,5 +202,6 @@ def file_inventory(spark: SparkSession, layout: Layout, content_hash: bool = Fal
             ).alias("etag"),
             F.max(utc).alias("last_modified"),
             F.sum("length").alias("bytes"),
+            F.when(F.lit(content_hash), F.sha2(F.concat_ws(",", marks), 256)).alias("sha256"),
         )
     )

@@ -1,5 +1,7 @@
 """Schema contract, drift and the columns a scan reads."""
 
+import os
+import shutil
 from datetime import date
 
 import pytest
@@ -83,6 +85,43 @@ def test_trip_scan_reads_only_the_needed_columns(spark, tmp_path):
     assert {c.split(":")[0] for c in read.split(",")} == set(NEEDED)
 
 
+@pytest.mark.parametrize("first", ["a", "z"])
+def test_every_file_of_a_month_is_checked(spark, tmp_path, first):
+    layout, month = Layout.under(str(tmp_path)), date(2023, 6, 1)
+    whole = spark.range(5).select(*[F.lit(1).cast(KINDS[k]).alias(c) if k != "temporal" else F.current_timestamp().cast("timestamp_ntz").alias(c) for c, k in REQUIRED.items()])
+    other = "z" if first == "a" else "a"
+    for name, df in ((first, whole), (other, whole.drop("total_amount"))):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        (part,) = (tmp_path / name).glob("*.parquet")
+        target = layout.month("raw", month)
+        os.makedirs(target, exist_ok=True)
+        shutil.copy(part, f"{target}/{name}.parquet")
+    with pytest.raises(DataQualityError, match=f"{other}.parquet: .*total_amount"):
+        M.check_month(spark, layout, month)
+
+
+def test_files_of_unlike_types_are_read_together(spark, tmp_path):
+    layout, month = Layout.under(str(tmp_path)), date(2023, 6, 1)
+    at = F.lit("2023-06-05 10:00:00").cast("timestamp_ntz")
+    for zone, fare in (("int", "float"), ("bigint", "decimal(9,2)")):
+        spark.range(3).select(
+            at.alias(NEEDED[0]), at.alias(NEEDED[1]), F.lit(4).cast(zone).alias(NEEDED[2]),
+            F.lit(2.5).alias(NEEDED[3]), F.lit(7.5).cast(fare).alias(NEEDED[4]), F.lit(9.0).alias(NEEDED[5]),
+        ).write.mode("append").parquet(layout.month("raw", month))
+    schemas, _ = M.check_month(spark, layout, month)
+    rows = M.read_trips(spark, layout, {month: schemas}).collect()
+    assert len(rows) == 6 and {(r["PULocationID"], r["fare_amount"]) for r in rows} == {(4, 7.5)}
+
+
+@pytest.mark.parametrize("which, unread", [("out_of_month", ["l_quantity", "l_extendedprice"]), ("trip_duration", ["l_quantity", "l_extendedprice"])])
+def test_queries_read_only_what_they_use(spark, sf_dir, which, unread):
+    from curbline import catalog
+
+    text = plan(catalog.QUERIES[which](spark, sf_dir))
+    read = text.split("ReadSchema: struct<")[1].split(">")[0]
+    assert "l_orderkey" in read and not [c for c in unread if c in read]
+
+
 def test_statistics_take_one_shuffle(spark, sf_dir):
     flagged = rules.flag_rows(adapter.trips(spark, sf_dir), rules.default_rules())
     stats = plan(daily.daily_stats(flagged, rules.default_rules()))

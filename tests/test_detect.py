@@ -8,7 +8,7 @@ from curbline.config import Thresholds
 from curbline.functions.calendar import lookback, month_range
 from curbline.plans import detect as D, history as H
 
-MAY = date(2026, 5, 1)
+MAY = date(2031, 5, 1)
 TABLE = "source_month DATE, etag STRING"
 
 
@@ -17,7 +17,7 @@ def months(spark, *days):
 
 
 def table(spark, **etags):
-    rows = [(date(2026, int(k[1:]), 1), v) for k, v in etags.items()]
+    rows = [(date(2031, int(k[1:]), 1), v) for k, v in etags.items()]
     return spark.createDataFrame(rows, TABLE)
 
 
@@ -26,18 +26,26 @@ def reason(spark, inventory, state, outputs, force=False):
     return seen.first()["reason"]
 
 
-def test_window_ends_before_the_current_month():
-    window = lookback(date(2026, 8, 12), 6)
-    assert (window[0], window[-1], len(window)) == (date(2026, 7, 1), date(2026, 2, 1), 6)
-    assert lookback(date(2025, 1, 15), 2) == [date(2024, 12, 1), date(2024, 11, 1)]
+@pytest.mark.parametrize(
+    "today, months, newest, oldest",
+    [
+        (date(2019, 3, 31), 4, date(2019, 2, 1), date(2018, 11, 1)),
+        (date(2020, 1, 1), 1, date(2019, 12, 1), date(2019, 12, 1)),
+        (date(2021, 12, 5), 24, date(2021, 11, 1), date(2019, 12, 1)),
+    ],
+)
+def test_lookback(today, months, newest, oldest):
+    found = lookback(today, months)
+    assert found == sorted(set(found), reverse=True) and len(found) == months
+    assert (found[0], found[-1]) == (newest, oldest)
 
 
-def test_ranges():
-    assert month_range("2024-11", "2025-02") == [date(2024, 11, 1), date(2024, 12, 1), date(2025, 1, 1), date(2025, 2, 1)]
-    assert month_range("2025-02", None) == month_range(None, "2025-02") == [date(2025, 2, 1)]
+def test_month_range():
+    assert month_range("2019-12", "2020-02") == [date(2019, 12, 1), date(2020, 1, 1), date(2020, 2, 1)]
+    assert month_range("2020-02", None) == [date(2020, 2, 1)] == month_range(None, "2020-02")
     assert month_range(None, None) is None
     with pytest.raises(ValueError, match="backwards"):
-        month_range("2025-02", "2025-01")
+        month_range("2020-02", "2019-12")
 
 
 def test_reasons_in_order(spark):
@@ -57,8 +65,8 @@ def test_reasons_in_order(spark):
     assert [tuple(r) for r in work] == [(MAY, "b", "etag_changed")]
 
 
-def verdict(spark, inventory, state, outputs, today=date(2026, 6, 20), limits=Thresholds()):
-    seen = D.detect(months(spark, MAY, date(2026, 4, 1)), inventory, state, outputs)
+def verdict(spark, inventory, state, outputs, today=date(2031, 6, 20), limits=Thresholds()):
+    seen = D.detect(months(spark, MAY, date(2031, 4, 1)), inventory, state, outputs)
     return D.freshness(seen, today, limits).first()
 
 
@@ -66,16 +74,16 @@ def test_freshness_order(spark):
     a, empty = table(spark, m5="a"), table(spark)
     out, none = months(spark, MAY), months(spark)
     ok = verdict(spark, a, a, out)
-    assert (ok["status"], ok["changed"], ok["checked"]) == ("ok", [], ["2026-04", "2026-05"])
-    assert (ok["source_newest"], ok["source_age_days"]) == ("2026-05", 19)
-    assert "without output: 2026-05" in verdict(spark, a, a, none, date(2030, 1, 1))["detail"]
+    assert (ok["status"], ok["changed"], ok["checked"]) == ("ok", [], ["2031-04", "2031-05"])
+    assert (ok["source_newest"], ok["source_age_days"]) == ("2031-05", 19)
+    assert "without output: 2031-05" in verdict(spark, a, a, none, date(2035, 1, 1))["detail"]
     assert "no published month" in verdict(spark, empty, empty, none)["detail"]
-    assert "the limit is 120" in verdict(spark, a, a, out, date(2026, 10, 1))["detail"]
-    assert verdict(spark, a, a, out, date(2026, 9, 29))["status"] == "ok"  # 120 days is not over
+    assert "the limit is 120" in verdict(spark, a, a, out, date(2031, 10, 1))["detail"]
+    assert verdict(spark, a, a, out, date(2031, 9, 29))["status"] == "ok"  # 120 days is not over
 
 
 def test_gaps(spark):
-    gaps = D.ingest_gaps(months(spark, MAY, date(2026, 4, 1)), table(spark, m5="a"), months(spark))
+    gaps = D.ingest_gaps(months(spark, MAY, date(2031, 4, 1)), table(spark, m5="a"), months(spark))
     assert [r["source_month"] for r in gaps.collect()] == [MAY]
 
 
@@ -83,7 +91,7 @@ def test_ingest_plan(spark):
     expected = table(spark, m1="a", m2="a", m3="a", m4="a", m5=None)
     inventory = table(spark, m1="a", m2="b", m3="a", m5="x")
     state = table(spark, m1="a", m2="a", m3="a", m5="x")
-    raw = months(spark, date(2026, 1, 1), date(2026, 2, 1), MAY)
+    raw = months(spark, date(2031, 1, 1), date(2031, 2, 1), MAY)
     rows = D.ingest_plan(expected, inventory, state, raw).orderBy("source_month").collect()
     assert [(r["action"], r["moved"]) for r in rows] == [
         ("reuse", False),
@@ -99,7 +107,7 @@ RUN = """run_id STRING, source_month DATE, written_at TIMESTAMP_NTZ,
 
 
 def run(rid, month, day, rows, rules=None):
-    return (rid, date(2026, month, 1), datetime(2026, 6, day), rows, rules or {"reversal": 1})
+    return (rid, date(2031, month, 1), datetime(2031, 6, day), rows, rules or {"reversal": 1})
 
 
 def test_newest_run_is_by_time_not_by_name(spark):
@@ -124,7 +132,7 @@ def test_old_runs_are_translated(spark):
 
 
 def test_stale_checks(spark):
-    checks = spark.createDataFrame([(datetime(2026, 6, 1, 6),), (datetime(2026, 6, 2, 6),)], "checked_at TIMESTAMP_NTZ")
-    assert not H.stale_checks(checks, datetime(2026, 6, 4, 6)).first()["stale"]
-    late = H.stale_checks(checks, datetime(2026, 6, 4, 6, 0, 1)).first()
+    checks = spark.createDataFrame([(datetime(2031, 6, 1, 6),), (datetime(2031, 6, 2, 6),)], "checked_at TIMESTAMP_NTZ")
+    assert not H.stale_checks(checks, datetime(2031, 6, 4, 6)).first()["stale"]
+    late = H.stale_checks(checks, datetime(2031, 6, 4, 6, 0, 1)).first()
     assert late["stale"] and late["hours"] > 48

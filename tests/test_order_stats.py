@@ -19,11 +19,10 @@ def sample(seed):
     return hot + repeated + tied + null_key + [(4, 1.0), (5, 2.0), (5, 4.0)]
 
 
-@pytest.mark.parametrize("max_distinct", [10**6, 400, 20, 1])
-def test_medians(spark, max_distinct):
+def test_medians(spark):
     rows = sample(3)
     df = spark.createDataFrame(rows, "k INT, v DOUBLE").repartition(7)
-    out = order_statistics(df, ["k"], "v", MEDIAN_POSITIONS, max_distinct=max_distinct)
+    out = order_statistics(df, ["k"], "v", MEDIAN_POSITIONS)
     got = {r["k"]: (r["n"], r["m"]) for r in out.withColumn("m", median_of(F.col("p0"), F.col("p1"))).collect()}
     groups = {}
     for k, v in rows:
@@ -34,18 +33,40 @@ def test_medians(spark, max_distinct):
         assert got[k][1] == pytest.approx(median(values), rel=1e-12)
 
 
-@pytest.mark.parametrize("max_distinct", [10**6, 30])
-def test_arbitrary_ranks(spark, max_distinct):
+def test_arbitrary_ranks(spark):
     rows = sample(5)
     sixths = [lambda n, i=i: F.floor(i * n / 6).cast("bigint") for i in range(1, 6)]
     df = spark.createDataFrame(rows, "k INT, v DOUBLE")
-    out = order_statistics(df, ["k"], "v", sixths, max_distinct=max_distinct).collect()
+    out = order_statistics(df, ["k"], "v", sixths).collect()
     for r in out:
         values = sorted(v for k, v in rows if k == r["k"])
         assert [r[f"p{i}"] for i in range(5)] == [values[i * len(values) // 6] for i in range(1, 6)]
 
 
-def test_hot_groups_are_the_wide_ones(spark):
-    df = spark.createDataFrame(sample(7), "k INT, v DOUBLE")
-    hot = order_stats.hot_groups(df, ["k"], "v", 100).collect()
-    assert {r["k"] for r in hot} == {1, None}
+def test_values_that_are_no_numbers_sort_last(spark):
+    rng = random.Random(9)
+    inf, nan = float("inf"), float("nan")
+    # nine tenths of all rows are one group
+    rows = [(1, rng.uniform(-1e3, 1e3)) for _ in range(1800)] + [(1, inf), (1, -inf), (1, nan), (1, 1e308)]
+    rows += [(2, nan)] * 3 + [(3, -inf), (3, inf)] + [(4, float(i)) for i in range(150)]
+    df = spark.createDataFrame(rows, "k INT, v DOUBLE").repartition(5)
+    ends = [lambda n: F.lit(0).cast("bigint"), MEDIAN_POSITIONS[1], lambda n: (n - 1).cast("bigint")]
+    out = {r["k"]: r for r in order_statistics(df, ["k"], "v", ends).collect()}
+    for k in (1, 2, 3, 4):
+        values = sorted((v for g, v in rows if g == k), key=lambda v: (v != v, v))
+        want = [values[0], values[len(values) // 2], values[-1]]
+        assert [str(out[k][f"p{i}"]) for i in range(3)] == list(map(str, want))
+
+
+def test_buckets_grow_with_the_value(spark):
+    values = sorted([0.0, -0.0, 1e-300, -1e-300, 1e308, -1e308, 3.2, 3.25, -3.2, 7.0, 1e9, float("inf"), -float("inf")])
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").select("v", order_stats.bucket_of("v").alias("b"))
+    found = [r["b"] for r in sorted(df.collect(), key=lambda r: r["v"])]
+    assert found == sorted(found)
+
+
+def test_no_action_while_the_plan_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    order_statistics(spark.range(100).selectExpr("id % 3 AS k", "id * 1D AS v"), ["k"], "v", MEDIAN_POSITIONS)
+    assert set(tracker.getJobIdsForGroup(None)) == before

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CASES, TRIP_SCHEMA, trip
+from conftest import CASES, TRIP_SCHEMA, ride
 from curbline.config import Thresholds
 from curbline.functions import scalars as X
 from curbline.functions.metrics import SUMS, metrics_long, solid
@@ -47,6 +47,22 @@ def test_reversals_have_their_own_budget(spark):
     assert gate(spark, [(JAN, 1000, 10, 90, 0, 0)], limits=loose)[JAN]["passed"]
 
 
+def test_a_failed_month_is_nobodys_base(spark):
+    def counts(month, n):
+        return (month, n, 0, 0, 0, 0)
+
+    before = [(date(2024, 12, 1), 1000)]
+    out = gate(spark, [counts(JAN, 300), counts(FEB, 1000)], history=before)
+    assert out[JAN]["failed_gate"] == "volume" and out[FEB]["passed"]
+    assert out[FEB]["volume_delta"] is None
+    # an earlier run of the failed month is
+    out = gate(spark, [counts(JAN, 300), counts(FEB, 1000)], history=[*before, (JAN, 900)])
+    assert out[FEB]["volume_delta"] == pytest.approx(1 / 9)
+    # and a month fails for the base that the one before it became
+    out = gate(spark, [counts(JAN, 1100), counts(FEB, 300), counts(MAR, 320)], history=before)
+    assert [out[m]["failed_gate"] for m in (JAN, FEB, MAR)] == [None, "volume", None]
+
+
 def test_volume_gate_and_absent_months(spark):
     rows = [(JAN, 100, 0, 0, 0, 0), (FEB, 141, 0, 0, 0, 0)]
     out = gate(spark, rows, months=[JAN, FEB, MAR])
@@ -189,9 +205,9 @@ def test_scalars(spark):
 
 
 def test_sample_shows_every_kind(spark):
-    many = [trip(f"2025-01-{1 + i % 28:02d}T10:00", f"2025-01-{1 + i % 28:02d}T10:20", 1.0 + i, 9.0, 11.0) for i in range(200)]
-    broken = [trip("2025-01-05T10:00", "2025-01-05T10:10", 0.0, 5.0, float(i)) for i in range(1, 31)]
-    df = spark.createDataFrame(CASES + many + broken, TRIP_SCHEMA)
+    many = [ride(f"2023-06-{1 + i % 28:02d}T10:00", 20, 1.0 + i, 9.0, 11.0) for i in range(200)]
+    broken = [ride("2023-06-05T10:00", 10, 0.0, 5.0, float(i)) for i in range(1, 31)]
+    df = spark.createDataFrame(CASES + many + broken + [ride("2023-06-05T10:00", 10, 1.0, 5.0, 6.0, zone=264)], TRIP_SCHEMA)
     out = sample.pathology_sample(df, 100).collect()
     kinds = [r["kind"] for r in out]
     assert len(out) == 100
