@@ -77,7 +77,7 @@ def near_by_hand(rows):
         if not x or not y:
             near = not x and not y
         else:
-            near = sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in {*x, *y}) for i in x if i in y) >= 0.8
+            near = sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in {*x, *y}) for i in x if i in y) >= 0.8
         if near:
             links += 1
             up[max(root(a), root(b))] = min(root(a), root(b))
