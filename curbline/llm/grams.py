@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SEGMENT_CHARS = 1 << 18
+SEGMENT_CHARS = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0x100000001B3)
 SPACE = np.uint32(32)

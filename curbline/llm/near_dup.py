@@ -30,7 +30,7 @@ BANDS, ROWS = 25, 5  # a pair at 0.8 shares a band with a probability of 0.99995
 SEED = 41
 BLOCK = 1024  # members of a block
 FEW_KEYS = 1_000_000  # up to so many keys (16 bytes each) are broadcast
-PORTION = 1 << 19  # characters whose texts are signed together
+PORTION = 1 << 18  # characters whose texts are signed together
 
 
 def _keyed(docs: DataFrame, text: str, id_col: str, *more: Column) -> DataFrame:

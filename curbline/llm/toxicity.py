@@ -37,6 +37,7 @@ class Training:
     bits: int = 18
     size: int = 8
     epochs: int = 10
+    steps: int = 800  # a small sample is walked through more often, until it has had so many
     group: int = 32
     rate: float = 1.0
     seed: int = 7
@@ -79,8 +80,9 @@ def fit(texts: list[str], marks: list[int], how: Training = Training()) -> tuple
     if len(bags) == 0 or marks.min() == marks.max():
         chance = 0.0 if len(bags) == 0 or marks.min() == 0 else 1.0
         return np.zeros(width, np.float32), (20.0 * chance - 10.0)
-    for _ in range(how.epochs):
-        for own in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // how.group)):
+    groups = max(1, len(bags) // how.group)
+    for _ in range(max(how.epochs, -(-how.steps // groups))):
+        for own in np.array_split(rng.permutation(len(bags)), groups):
             bucket = np.concatenate([bags[i][0] for i in own])
             share = np.concatenate([bags[i][1] for i in own])
             lengths = [len(bags[i][0]) for i in own]
@@ -114,8 +116,11 @@ def learn(
     docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id",
     mark: str = "toxic", how: Training = Training(),
 ) -> tuple[np.ndarray, float]:
-    """The model from a bounded sample of labelled rows that are not held out. Null texts and marks
+    """The model from a bounded sample of labelled rows that are not held out.
+
+    Null texts and marks
     other than 0 and 1 teach nothing; an id marked both ways counts as marked 1."""
+    ship(docs.sparkSession)
     marked = (
         labels.where(F.col(mark).isin(0, 1) & (remainder(id_col, PARTS) != REST))
         .groupBy(F.col(id_col).alias("doc_id"))
@@ -139,11 +144,20 @@ def learn(
         .select("doc_id", "mark")
         .distinct()
     )
-    sample = sorted(
-        (r["doc_id"], r["text"], r["mark"])
-        for r in own.join(F.broadcast(first), "doc_id").dropDuplicates(["doc_id"]).collect()
-    )
-    return fit([t for _, t, _ in sample], [m for _, _, m in sample], how)
+    sample = own.join(F.broadcast(first), "doc_id").dropDuplicates(["doc_id"]).repartition(1)
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for batch in stream for r in zip(*(c.to_pylist() for c in batch.columns)))
+        numbers, bias = fit([t for _, t, _ in rows], [m for _, _, m in rows], how)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([numbers.tobytes()], pa.binary()), pa.array([bias])], ["numbers", "bias"]
+        )
+
+    # The bounded sample is learned from in one task; only the model comes to the driver.
+    found = sample.select("doc_id", "text", "mark").mapInArrow(batches, "numbers BINARY, bias DOUBLE").first()
+    if found is None:
+        return fit([], [], how)
+    return np.frombuffer(found["numbers"], np.float32), found["bias"]
 
 
 def _scores(texts: list[str], numbers: np.ndarray, bias: float, how: Training) -> np.ndarray:

@@ -1,5 +1,7 @@
 """The five stages, and that everything registered is there."""
 
+import random
+
 
 import pytest
 
@@ -24,9 +26,19 @@ def test_registered():
 
 
 def test_stages_over_their_whole_input(spark, make, odd, tmp_path):
-    clean = [(100 + i, " ".join(f"wort{i}x{k}" for k in range(40)), "de", f"s{i % 4}") for i in range(60)]
-    toxic = [(300 + i, f"{t} rotzkerl dreckskerl mistvieh", "de", "s1") for i, (_, t, _, _) in enumerate(clean[:30])]
-    copies = [(500, clean[0][1], "de", "s2"), (501, clean[1][1].replace("wort1x39", "neu"), "de", "s2")]
+    rng = random.Random(12)
+
+    def words(n):
+        return ["".join(rng.choices("aeioustnrlm", k=rng.randint(2, 7))) for _ in range(n)]
+
+    clean = [(1000 + i, " ".join(words(60)), "de", f"s{i % 4}") for i in range(240)]
+    toxic = []
+    for i in range(120):
+        own = words(60)
+        for at in rng.sample(range(60), 5):
+            own[at] = rng.choice(["rotzkerl", "dreckskerl", "mistvieh"])
+        toxic.append((3000 + i, " ".join(own), "de", "s1"))
+    copies = [(5000, clean[0][1], "de", "s2"), (5001, clean[1][1].rsplit(" ", 1)[0] + " neu", "de", "s2")]
     marks = [(i, 1, 0) for i, *_ in clean] + [(i, 1, 1) for i, *_ in toxic]
     folder = str(tmp_path)
     spark.createDataFrame(marks, "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{folder}/labels.parquet")
@@ -39,8 +51,10 @@ def test_stages_over_their_whole_input(spark, make, odd, tmp_path):
         out.write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         kept[name] = {r["doc_id"] for r in docs.select("doc_id").collect()}
-    assert not {i for i, *_ in toxic} & kept["toxicity"]
-    assert {i for i, *_ in clean} <= kept["toxicity"]
-    assert 500 not in kept["exact_dedup"] and 501 in kept["exact_dedup"]
-    assert {i for i, *_ in clean} <= kept["near_dup"] and 501 not in kept["near_dup"]
+    assert len({i for i, *_ in toxic} & kept["toxicity"]) <= 6
+    assert len({i for i, *_ in clean} & kept["toxicity"]) >= 236
+    assert {1000, 1001, 5000, 5001} <= kept["toxicity"]
+    assert 5000 not in kept["exact_dedup"] and 5001 in kept["exact_dedup"]
+    assert {i for i, *_ in clean} & kept["near_dup"] == {i for i, *_ in clean} & kept["toxicity"]
+    assert 5001 not in kept["near_dup"]
     assert kept["mixing"] == kept["byte_bpe"] <= kept["near_dup"]
