@@ -74,7 +74,7 @@ def daily_medians(
     by: Sequence[str] = ("source_month",),
 ) -> DataFrame:
     """Exact medians of distance (miles) and duration (seconds) over the published rows' finite
-    values."""
+    values: one row per group and measure, with the other measure's median null."""
     keys = [*by, *GROUP]
     miles = trusted("trip_distance", rules)
     seconds = f"CASE WHEN {trusted('duration_min', rules)} IS NOT NULL THEN CAST(duration_s AS DOUBLE) END"
@@ -87,10 +87,11 @@ def daily_medians(
         "median", median_of(F.col("p0"), F.col("p1"))
     )
 
-    def of(measure: int, name: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, F.col("median"))).alias(name)
-
-    return found.groupBy(*keys).agg(of(0, "median_distance"), of(1, "median_duration"))
+    return found.select(
+        *keys,
+        F.when(F.col("measure") == 0, F.col("median")).alias("median_distance"),
+        F.when(F.col("measure") == 1, F.col("median")).alias("median_duration"),
+    )
 
 
 def curated_rows(
@@ -107,11 +108,12 @@ def curated_rows(
             {m: F.lit(None).cast("double") for m in ("median_distance", "median_duration")}
         )
     else:
-        # A missing pickup time gives a null day, hence the null-safe comparison.
-        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
-        rows = rows.alias("s").join(medians.alias("m"), same, "left").select(
-            "s.*", "m.median_distance", "m.median_duration"
-        )
+        # Statistics and medians of a group meet in one aggregation: no join on keys that may be
+        # null, and one shuffle.
+        both = rows.unionByName(medians, allowMissingColumns=True)
+        values = [c for c in both.columns if c not in keys]
+        rows = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
     def mean(total: str, obs: str, places: int, parts: int = 1) -> Column:
         return rounded_mean(F.col(total), F.col(obs) * parts, places)
 
