@@ -53,17 +53,24 @@ def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 def _bags(texts: list[str], bits: int, blanks: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its distinct buckets and their shares."""
-    found: list[list[np.ndarray]] = [[] for _ in texts]
+    bags: list[tuple[np.ndarray, np.ndarray]] = []
+    parts_of_text: list[np.ndarray] = []
+
+    def close() -> None:
+        buckets, counts = np.unique(np.concatenate(parts_of_text), return_counts=True)
+        bags.append((buckets, (counts / max(1, counts.sum() + blanks)).astype(np.float32)))
+        parts_of_text.clear()
+
     for numbers, parts in segments(texts):
         bucket, owner, n = features(parts, bits)
         order = np.argsort(owner, kind="stable")
         bounds = np.searchsorted(owner[order], np.arange(n + 1))
         for i, number in enumerate(numbers):
-            found[number].append(bucket[order[bounds[i] : bounds[i + 1]]].astype(np.int32))
-    bags = []
-    for own in found:
-        buckets, counts = np.unique(np.concatenate(own), return_counts=True)
-        bags.append((buckets, (counts / max(1, counts.sum() + blanks)).astype(np.float32)))
+            if parts_of_text and number > len(bags):
+                close()
+            parts_of_text.append(bucket[order[bounds[i] : bounds[i + 1]]].astype(np.int32))
+    if parts_of_text:
+        close()
     return bags
 
 
