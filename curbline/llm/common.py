@@ -70,7 +70,10 @@ _shipped: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of the session, once per application."""
+    """Make this package importable in the Python workers of the session, once per application.
+
+    The archive stands on the driver only; Spark hands it out to the executors by its own means.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
