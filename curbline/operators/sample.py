@@ -16,6 +16,7 @@ RESIDUAL_ZONES = (264, 265)  # fixed values: location codes that are not places
 def conditions(
     limits: Thresholds = Thresholds(), residual: Sequence[int] = RESIDUAL_ZONES
 ) -> dict[str, Column]:
+    """The kinds a sample shows; their names are fixed values."""
     c = F.col
     speed = F.try_divide(c("trip_distance"), c("duration_min") / 60.0)
     return {
