@@ -9,30 +9,31 @@ this small table is broadcast and every whole text is scored where it is read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import held_out, remainder, ship
 from .grams import Stream, segments
 
 LENGTHS = (3, 4, 5, 6)
 PARTS, REST = 5, 0  # fixed values: rows whose crc32 modulo 5 is 0 are held out
+ENTRY = np.dtype([("bucket", "<i4"), ("share", "<f4")])  # of a stored bag
 
 
 @dataclass(frozen=True)
 class Training:
-    """The sample is bounded: at most `clean` and `toxic` labelled texts of the two classes, by
-    hash of the id, and of these as many whole texts as stay within `chars` characters together.
+    """The sample is bounded: at most `clean` and `toxic` labelled ids of the two classes, by hash
+    of the id. Each gives one whole text, however long it is.
     Every text's mean is taken as if it had `blanks` more features with the zero vector, so a few
     rare words do not decide on a short text."""
 
     clean: int = 3000
     toxic: int = 1000
-    chars: int = 14_000_000
     blanks: int = 1000
     bits: int = 18
     size: int = 8
@@ -51,30 +52,33 @@ def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate([b for b, _ in found]), np.concatenate([t for _, t in found]), stream.n
 
 
-def _bags(texts: list[str], bits: int, blanks: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its distinct buckets and their shares."""
-    bags: list[tuple[np.ndarray, np.ndarray]] = []
-    parts_of_text: list[np.ndarray] = []
+def _bags(texts: list[str], bits: int, blanks: int) -> Iterator[np.ndarray]:
+    """For each text its distinct buckets and their shares. A bag has at most an entry per bucket,
+    whatever the length of the text."""
+    tally, at = np.zeros(1 << bits, np.int64), 0
 
-    def close() -> None:
-        buckets, counts = np.unique(np.concatenate(parts_of_text), return_counts=True)
-        bags.append((buckets, (counts / max(1, counts.sum() + blanks)).astype(np.float32)))
-        parts_of_text.clear()
+    def closed() -> np.ndarray:
+        buckets = np.flatnonzero(tally)
+        counts = tally[buckets]
+        tally[buckets] = 0
+        bag = np.empty(len(buckets), ENTRY)
+        bag["bucket"], bag["share"] = buckets, counts / max(1, counts.sum() + blanks)
+        return bag
 
     for numbers, parts in segments(texts):
         bucket, owner, n = features(parts, bits)
         order = np.argsort(owner, kind="stable")
         bounds = np.searchsorted(owner[order], np.arange(n + 1))
         for i, number in enumerate(numbers):
-            if parts_of_text and number > len(bags):
-                close()
-            parts_of_text.append(bucket[order[bounds[i] : bounds[i + 1]]].astype(np.int32))
-    if parts_of_text:
-        close()
-    return bags
+            if number > at:
+                yield closed()
+                at = number
+            tally += np.bincount(bucket[order[bounds[i] : bounds[i + 1]]], minlength=1 << bits)
+    if texts:
+        yield closed()
 
 
-def fit(texts: list[str], marks: list[int], how: Training = Training()) -> tuple[np.ndarray, float]:
+def fit(bags: Sequence[np.ndarray], marks: list[int], how: Training = Training()) -> tuple[np.ndarray, float]:
     """(number per bucket, bias): the logit of class 1 is their mean over a text plus the bias."""
     rng = np.random.default_rng(how.seed)
     width = 1 << how.bits
@@ -83,16 +87,16 @@ def fit(texts: list[str], marks: list[int], how: Training = Training()) -> tuple
     bias = np.zeros(2, np.float32)
     seen = np.full(width, 1e-8, np.float32)
     seen_softmax, seen_bias = np.full((how.size, 2), 1e-6), np.full(2, 1e-6)
-    bags, marks = _bags(texts, how.bits, how.blanks), np.array(marks, np.int64)
+    marks = np.array(marks, np.int64)
     if len(bags) == 0 or marks.min() == marks.max():
         chance = 0.0 if len(bags) == 0 or marks.min() == 0 else 1.0
         return np.zeros(width, np.float32), (20.0 * chance - 10.0)
     groups = max(1, len(bags) // how.group)
     for _ in range(max(how.epochs, -(-how.steps // groups))):
         for own in np.array_split(rng.permutation(len(bags)), groups):
-            bucket = np.concatenate([bags[i][0] for i in own])
-            share = np.concatenate([bags[i][1] for i in own])
-            lengths = [len(bags[i][0]) for i in own]
+            bucket = np.concatenate([bags[i]["bucket"] for i in own])
+            share = np.concatenate([bags[i]["share"] for i in own])
+            lengths = [len(bags[i]) for i in own]
             owner = np.repeat(np.arange(len(own)), lengths)
             means = np.stack(
                 [np.bincount(owner, v[bucket] * share, len(own)) for v in vectors], axis=1
@@ -126,42 +130,60 @@ def learn(
     """The model from a bounded sample of labelled rows that are not held out.
 
     Null texts and marks
-    other than 0 and 1 teach nothing; an id marked both ways counts as marked 1."""
+    other than 0 and 1 teach nothing; an id marked both ways counts as marked 1. An id that stands
+    in several rows is one text, that of the smallest digest."""
     ship(docs.sparkSession)
     marked = (
         labels.where(F.col(mark).isin(0, 1) & (remainder(id_col, PARTS) != REST))
         .groupBy(F.col(id_col).alias("doc_id"))
         .agg(F.max(mark).alias("mark"))
     )
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
-    order = F.xxhash64("doc_id", F.lit(how.seed))
-    ordered = (
-        own.select("doc_id", F.length("text").alias("chars"))
-        .join(marked, "doc_id")
-        .withColumn("order", order)
+    own = docs.where(F.col(text).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text), F.lit(how.seed)).alias("digest")
+    )
+    single = (
+        own.select("doc_id", "digest").join(marked, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("digest").alias("digest"), F.max("mark").alias("mark"))
     )
     clean, toxic = (
-        ordered.where(F.col("mark") == m).orderBy("order", "doc_id", "chars").limit(n)
+        single.where(F.col("mark") == m).orderBy(F.xxhash64("doc_id", F.lit(how.seed)), "doc_id").limit(n)
         for m, n in ((0, how.clean), (1, how.toxic))
     )
-    first = (
-        clean.union(toxic)
-        .withColumn("upto", F.sum("chars").over(Window.orderBy("order", "doc_id", "chars")))
-        .where(F.col("upto") <= how.chars)
-        .select("doc_id", "mark")
-        .distinct()
-    )
-    sample = own.join(F.broadcast(first), "doc_id").dropDuplicates(["doc_id"]).repartition(1)
+    sample = own.join(F.broadcast(clean.union(toxic)), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+
+    def bagged(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for row in range(batch.num_rows):
+                for bag in _bags(batch.column(2).slice(row, 1).to_pylist(), how.bits, how.blanks):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(row, 1), batch.column(1).slice(row, 1), pa.array([bag.tobytes()], pa.binary())],
+                        ["doc_id", "mark", "bag"],
+                    )
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(r for batch in stream for r in zip(*(c.to_pylist() for c in batch.columns)))
-        numbers, bias = fit([t for _, t, _ in rows], [m for _, _, m in rows], how)
+        with tempfile.TemporaryFile() as file:
+            places, size = [], 0
+            for batch in stream:
+                for doc_id, own_mark, bag in zip(*(batch.column(k) for k in range(3))):
+                    n = file.write(bag.as_buffer()) // ENTRY.itemsize
+                    places.append((doc_id.as_py(), own_mark.as_py(), size, size + n))
+                    size += n
+            file.flush()
+            held = np.memmap(file, ENTRY, "r") if size else np.empty(0, ENTRY)
+            places.sort()
+            numbers, bias = fit([held[a:b] for _, _, a, b in places], [m for _, m, _, _ in places], how)
         yield pa.RecordBatch.from_arrays(
             [pa.array([numbers.tobytes()], pa.binary()), pa.array([bias])], ["numbers", "bias"]
         )
 
-    # The bounded sample is learned from in one task; only the model comes to the driver.
-    found = sample.select("doc_id", "text", "mark").mapInArrow(batches, "numbers BINARY, bias DOUBLE").first()
+    # Texts become bags where they are read; the bags are learned from in one task, which keeps them
+    # on its disk. Only the model comes to the driver.
+    id_type = own.schema["doc_id"].dataType.simpleString()
+    bags = sample.select("doc_id", "mark", "text").mapInArrow(
+        bagged, f"doc_id {id_type}, mark {sample.schema['mark'].dataType.simpleString()}, bag BINARY"
+    )
+    found = bags.repartition(1).mapInArrow(batches, "numbers BINARY, bias DOUBLE").first()
     if found is None:
         return fit([], [], how)
     return np.frombuffer(found["numbers"], np.float32), found["bias"]

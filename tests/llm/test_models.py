@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_documents import make, none, odd  # noqa: F401
 from curbline.llm import gru, langid, lm_score, toxicity
@@ -97,6 +98,28 @@ def test_labels_of_held_out_rows_teach_nothing(spark, make):
     assert np.array_equal(a[0], b[0]) and a[1] == b[1]
 
 
+def test_a_very_long_text_and_repeated_rows_do_not_end_the_sample(spark, make):
+    rows, marks = toxic_rows(160, 3)
+    labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT, toxic INT")
+    how = toxicity.Training(clean=60, toxic=25, steps=60, blanks=50)
+    docs = make(rows)
+    first = {}  # of each class the id that the sample takes first
+    for r in labels.orderBy(F.xxhash64("doc_id", F.lit(how.seed))).collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % toxicity.PARTS != toxicity.REST:
+            first.setdefault(r["toxic"], r["doc_id"])
+    plain = toxicity.learn(docs, labels, how=how)
+    for mark, n in ((0, 60), (1, 25)):
+        again = docs.where(F.col("doc_id") == first[mark]).crossJoin(spark.range(n).select())
+        numbers, bias = toxicity.learn(docs.unionByName(again), labels, how=how)
+        assert np.array_equal(numbers, plain[0]) and bias == plain[1]
+    long = F.when(F.col("doc_id") == first[0], F.repeat(F.lit("aeiou "), 2_500_000)).otherwise(F.col("text"))
+    model = toxicity.learn(docs.withColumn("text", long), labels, how=how)
+    truth = {i: m for i, _, m in marks}
+    out = toxicity.score(docs, model, how=how).collect()
+    constant = max(Counter(truth.values()).values())  # what the same answer for all gets right
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in out) > constant + 10
+
+
 def lm_tokens(text):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return re.findall(r"[^\x20\x09-\x0D]+", lower) + [" "]
