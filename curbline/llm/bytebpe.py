@@ -17,7 +17,8 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 REMEMBERED = 200_000  # pieces in each of the two generations of a memo
-PLAIN = 0x250  # below it the pattern's classes are the same in every library
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # cut into pieces
+PLAIN = 0x250  # below it that pattern's classes are the same in every library
 
 
 def byte_alphabet() -> list[str]:
@@ -86,8 +87,8 @@ class RankVocabulary:
 
     Merging goes by the rank of the merged token, as every pair of tokens that adds up to a token
     is a merge with that token's place. A piece that is a token is taken as it is. Text is cut by
-    `pattern` first: by an equal pattern of the standard library where all characters are
-    below U+0250, else by the tokenizers library itself.
+    `pattern` first: the usual one by an equal pattern of the standard library where all characters
+    are below U+0250, all else by the tokenizers library itself.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -104,6 +105,7 @@ class RankVocabulary:
         ]
         vocab = {spelled(t): r for t, r in ranks.items()}
         self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0)
+        self.usual = pattern == USUAL
         self.splitter = pre_tokenizers.Split(Regex(pattern), "isolated")
         self.memo = Memo(self._piece)
         tokens = [b""] * (max(ranks.values()) + 1)
@@ -118,7 +120,7 @@ class RankVocabulary:
         return np.array([t.id for t in tokens], "<u4").tobytes()
 
     def pieces(self, text: str) -> Iterable[str]:
-        if UNUSUAL.search(text) is None:
+        if self.usual and UNUSUAL.search(text) is None:
             return PLAIN_PIECES.findall(text)
         return [piece for piece, _ in self.splitter.pre_tokenize_str(text)]
 

@@ -38,6 +38,18 @@ def strings(n=4000, seed=2):
     return ["".join(rng.choices(rng.choice(pools), k=rng.randint(0, 40))) for _ in range(n)]
 
 
+def test_any_pattern_cuts_all_texts():
+    pattern = r"\p{L}|\p{N}{1,2}|[^\p{L}\p{N}]+"  # letters stand alone
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    own = RankVocabulary(RANKS, pattern)
+    assert RankVocabulary(RANKS, public_tokenizers.PATTERN).usual and not own.usual
+    for text in ("hello world 12345", "it's  ", "\u4e2d hello 123", "", "\xe9t\xe9\n"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == other.encode_ordinary(text)
+
+
+
 def test_ids_are_the_librarys(reference):
     own = RankVocabulary(RANKS, public_tokenizers.PATTERN)
     for text in strings():
