@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, lm_score, mixing, near_dup, secrets, token_counts, topk, toxicity
+from . import bpe, chunk_dedup, langid, lexical, lm_score, mixing, near_dup, secrets, token_counts, topk, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op10_langid(spark, sf):
     return langid.languages_of(table(spark, sf, "documents"))
 
 
+@query
+def op12_lexical(spark, sf):
+    return lexical.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 ORACLES = {
     "op3_topk": """
         WITH v AS (
@@ -111,4 +116,34 @@ ORACLES = {
             WINDOW g AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM r
     """,
+    "op12_lexical": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents),
+        e AS (SELECT r, doc_id, unnest(t) AS term, len(t) AS n FROM d),
+        tf AS (SELECT r, doc_id, term, n, count(*) AS tf FROM e GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        a AS (SELECT count_if(len(t) > 0) AS nn, CAST(sum(len(t)) AS BIGINT) AS ll FROM d),
+        i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        w AS (
+            SELECT item_id, term, CAST(floor(1000 * ln(
+                CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM i JOIN df USING (term) CROSS JOIN a),
+        s AS (
+            SELECT item_id, r, doc_id, CAST(sum(
+                w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nn) // ll)))))
+                AS BIGINT) AS score
+            FROM w JOIN tf USING (term) CROSS JOIN a GROUP BY ALL),
+        k AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+            FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+    """,
 }
