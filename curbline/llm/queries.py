@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, lexical, lm_score, mixing, near_dup, secrets, token_counts, topk, toxicity
+from . import bpe, chunk_dedup, langid, lexical, lm_score, mixing, near_dup, repair, secrets, token_counts, topk, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,12 @@ def op12_lexical(spark, sf):
     return lexical.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op13_repair(spark, sf):
+    told = table(spark, sf, "conversations")
+    return repair.audits(repair.damaged(told), told)
+
+
 ORACLES = {
     "op3_topk": """
         WITH v AS (
