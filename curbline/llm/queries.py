@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunk_dedup, langid, lexical, lm_score, mixing, near_dup, repair, secrets, token_counts, topk, toxicity
+from . import bpe, chunk_dedup, langid, lexical, lm_score, mixing, near_dup, packing, repair, secrets, token_counts, topk, toxicity
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ def query(fn: Query) -> Query:
 
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PACKED = public_tokenizers.path("word_bpe_49k.json")
 COUNTED = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -78,6 +79,11 @@ def op10_langid(spark, sf):
     return langid.languages_of(table(spark, sf, "documents"))
 
 
+@query
+def op11_packing(spark, sf):
+    return packing.placed(table(spark, sf, "documents"), PACKED)
+
+
 @query
 def op12_lexical(spark, sf):
     return lexical.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
