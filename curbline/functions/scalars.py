@@ -3,17 +3,53 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-# Measurements and money are summed as decimals of ten places, which is more than any source
-# carries: the same total in whatever order the partial sums arrive.
-EXACT = "DECIMAL(38, 10)"
+# Measurements and money are summed in parts, so that the same total comes out in whatever order the
+# partial sums arrive, and no total is too large: decimals of ten places below 10^14, whole units
+# of 10^14 above, and plain doubles from 10^28 on, where a double is that coarse itself.
+UNIT = "100000000000000BD"
+NEAR, FAR = "1e14D", "1e28D"
+TOTAL = "decimal(37,10)"
 
 
-def exact(x: str) -> str:
-    """SQL for a number as an exact decimal; null when it is no finite number below 10^28."""
-    return f"try_cast({x} AS {EXACT})"
+def finite(x: str) -> str:
+    """SQL telling whether a number is none of NaN and the infinities; null for null."""
+    return f"abs({x}) < double('infinity')"
+
+
+def sum_parts(x: str) -> str:
+    """SQL for the sum of the finite values of x: a struct that the functions below read."""
+    wide = f"cast({x} AS decimal(38,10))"
+    low = f"CASE WHEN abs({x}) < {NEAR} THEN {wide} WHEN abs({x}) < {FAR} THEN {wide} % {UNIT} END"
+    high = (
+        f"CASE WHEN abs({x}) >= {NEAR} AND abs({x}) < {FAR}"
+        f" THEN cast(({wide} - {wide} % {UNIT}) / {UNIT} AS decimal(38,0)) END"
+    )
+    huge = f"CASE WHEN abs({x}) >= {FAR} AND {finite(x)} THEN cast({x} AS double) END"
+    return f"named_struct('low', sum({low}), 'high', sum({high}), 'huge', sum({huge}))"
+
+
+def whole_sum(x: str) -> str:
+    """SQL for the exact sum of whole numbers, whatever they add up to."""
+    return f"sum(cast({x} AS decimal(28,0)))"
+
+
+def _total(parts: Column) -> Column:
+    """The exact total of parts; null where it has 10^27 or more, or where nothing was summed."""
+    high = (parts["high"].try_cast("decimal(15,0)") * F.lit(10**14)).try_cast(TOTAL)
+    near = F.coalesce(parts["low"], F.when(parts["high"].isNotNull(), F.lit(0))).try_cast(TOTAL)
+    return F.when(parts["huge"].isNull(), F.when(parts["high"].isNull(), near).otherwise(near + high))
+
+
+def _far_total(parts: Column) -> Column:
+    """The total as a double, for totals beyond an exact one."""
+    pieces = [parts["huge"], parts["high"].cast("double") * F.lit(1e14), parts["low"].cast("double")]
+    known = F.coalesce(*pieces).isNotNull()
+    total = sum((F.coalesce(p, F.lit(0.0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0.0)))
+    return F.when(known, total)
 
 
 def round_half(x: Column, places: int) -> Column:
@@ -21,25 +57,31 @@ def round_half(x: Column, places: int) -> Column:
     return F.round(x.cast("double"), places)
 
 
-def rounded_sum(total: Column, places: int) -> Column:
-    return F.round(total, places).cast("double")
+def rounded_sum(parts: Column, places: int) -> Column:
+    return F.coalesce(F.round(_total(parts), places).cast("double"), F.round(_far_total(parts), places))
 
 
-def rounded_mean(total: Column, count: Column, places: int) -> Column:
-    """An exact sum divided by a count, rounded once; null for no values.
+def rounded_quotient(total: Column, count: Column, places: int, times: int = 1) -> Column:
+    """An exact total divided by (count x times), rounded once; null for no values, and for totals
+    of 10^27 and more. What is left over by whole steps of the last place decides."""
+    step = count.cast("decimal(20,0)") * F.lit(Decimal(times).scaleb(-places))
+    exact = total.try_cast(TOTAL)
+    rest = exact % step
+    steps = ((exact - rest) / step).cast("decimal(31,0)")
+    away = F.when(F.abs(rest) * 2 >= step, F.signum(exact).cast("int")).otherwise(0)
+    return F.when(count > 0, ((steps + away) * F.lit(Decimal(1).scaleb(-places))).cast("double"))
 
-    The quotient keeps 18 places, fewer than which no mean of under 10^8 values can lie beside a
-    tie. Sums of 10^20 and more are divided as doubles.
-    """
-    quotient = total.try_cast("decimal(30,10)") / count.cast("decimal(12,0)")
-    plain = F.round(total.cast("double") / count, places)
-    return F.when(count > 0, F.coalesce(F.round(quotient, places).cast("double"), plain))
+
+def rounded_mean(parts: Column, count: Column, places: int) -> Column:
+    """The mean behind a sum in parts, rounded once; null for no values."""
+    far = F.when(count > 0, F.round(_far_total(parts) / count, places))
+    return F.coalesce(rounded_quotient(_total(parts), count, places), far)
 
 
 def rounded_median(column: str, stored: int, places: int) -> Column:
     """The median of values that carry ``stored`` places, rounded once."""
     whole = F.median((F.col(column).cast("decimal(38,6)") * 10**stored).cast("double"))
-    return rounded_mean((whole * 2).cast("decimal(38,0)"), F.lit(2 * 10**stored), places)
+    return rounded_quotient((whole * 2).cast("decimal(38,0)"), F.lit(2 * 10**stored), places)
 
 
 def ratio(numerator: Column, denominator: Column, scale: float | None = None) -> Column:

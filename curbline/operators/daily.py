@@ -6,13 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import exact, round_half, rounded_mean, rounded_sum
+from ..functions.scalars import (
+    finite,
+    round_half,
+    rounded_mean,
+    rounded_quotient,
+    rounded_sum,
+    sum_parts,
+    whole_sum,
+)
 from .contract import CURATED, unique_dimension
-from .order_stats import MEDIAN_POSITIONS, median_of, order_statistics
+from .order_stats import MEDIAN_POSITIONS, median_of, values_at
 from .rules import PUBLISHED, Rule, any_flag, flag_rows, nulling_flags, reversal, trusted
 
 GROUP = ["date", "location_id"]
 MEASURED = ["trip_distance", "fare_amount", "total_amount"]
+MIDDLES = ["distance_0", "distance_1", "seconds_0", "seconds_1"]  # the two middle values of each
+ROW = "is_row"
 
 
 def _keyed(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -24,121 +34,128 @@ def _keyed(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def row_stats(flagged: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+def row_stats(
+    flagged: DataFrame,
+    rules: Sequence[Rule],
+    keys: Sequence[str],
+    middles: DataFrame | None = None,
+) -> DataFrame:
     """Every count and sum of a run, per group, over all rows in one pass.
 
-    Only integers and decimals are summed, so partial sums combine map-side and the result does
+    Only integers and exact parts are summed, so partial sums combine map-side and the result does
     not depend on how the rows were split. A measurement that is no finite number is no
     observation; ``nonfinite`` counts the rows that hold one, and such a row stays a trip.
+
+    ``middles`` are rows of the same keys that carry the middle values; they meet the statistics in
+    the same aggregation and count as no trips.
     """
+    rows = flagged.withColumn(ROW, F.lit(1))
+    extra = {}
+    if middles is not None:
+        rows = rows.unionByName(middles, allowMissingColumns=True)
+        extra = {m: f"max({m})" for m in MIDDLES}
+    own = f"{ROW} IS NOT NULL AND {PUBLISHED}"
     cancels = reversal(rules)
 
     def published(column: str) -> str:
-        return f"CASE WHEN {PUBLISHED} THEN {trusted(column, rules)} END"
-
-    def total_of(x: str) -> str:
-        return f"try_sum({exact(x)})"
+        return f"CASE WHEN {own} THEN {trusted(column, rules)} END"
 
     miles, minutes, fare = (
         published(c) for c in ("trip_distance", "duration_min", "fare_amount")
     )
-    odd = " OR ".join(f"({c} IS NOT NULL AND {exact(c)} IS NULL)" for c in MEASURED)
+    odd = " OR ".join(f"NOT {finite(c)}" for c in MEASURED)
     total = trusted("total_amount", rules)
     measures = {
-        "input": "count(1)",
-        "published": f"count_if({PUBLISHED})",
+        "input": f"count({ROW})",
+        "published": f"count_if({own})",
         "reversed": f"count_if({cancels})",
         "rejected": f"count_if(NOT ({PUBLISHED}) AND NOT {cancels})",
         "nonfinite": f"count_if({odd})",
         **{f"r_{r.name}": f"count_if({r.flag})" for r in rules},
         **{f"x_{c}": f"count_if({any_flag(f)})" for c, f in nulling_flags(rules).items()},
-        "distance_obs": f"count({exact(miles)})",
-        "distance_sum": total_of(miles),
+        "distance_obs": f"count_if({finite(miles)})",
+        "distance_sum": sum_parts(miles),
         "duration_obs": f"count({minutes})",
-        "duration_s": f"sum(CASE WHEN {minutes} IS NOT NULL THEN duration_s END)",
-        "fare_obs": f"count({exact(fare)})",
-        "fare_sum": total_of(fare),
-        "revenue_sum": total_of(published("total_amount")),
-        "refund_sum": total_of(f"CASE WHEN {cancels} THEN {total} END"),
+        "duration_s": whole_sum(f"CASE WHEN {minutes} IS NOT NULL THEN duration_s END"),
+        "fare_obs": f"count_if({finite(fare)})",
+        "fare_sum": sum_parts(fare),
+        "revenue_sum": sum_parts(published("total_amount")),
+        "refund_sum": sum_parts(f"CASE WHEN {cancels} THEN {total} END"),
+        **extra,
     }
-    return flagged.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in measures.items()])
+    return rows.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in measures.items()])
 
 
-def daily_stats(flagged: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ("source_month",)):
-    return row_stats(_keyed(flagged, rules), rules, [*by, *GROUP])
+def daily_stats(
+    flagged: DataFrame,
+    rules: Sequence[Rule],
+    by: Sequence[str] = ("source_month",),
+    middles: DataFrame | None = None,
+) -> DataFrame:
+    return row_stats(_keyed(flagged, rules), rules, [*by, *GROUP], middles)
 
 
-def daily_medians(
+def daily_middles(
     flagged: DataFrame,
     rules: Sequence[Rule],
     by: Sequence[str] = ("source_month",),
 ) -> DataFrame:
-    """Exact medians of distance (miles) and duration (seconds) over the published rows' finite
-    values: one row per group and measure, with the other measure's median null."""
+    """The two middle values of distance (miles) and duration (seconds) over the published rows'
+    finite values. A group has up to four rows, each with some of the four."""
     keys = [*by, *GROUP]
     miles = trusted("trip_distance", rules)
     seconds = f"CASE WHEN {trusted('duration_min', rules)} IS NOT NULL THEN CAST(duration_s AS DOUBLE) END"
     values = (
         _keyed(flagged.filter(PUBLISHED), rules)
         .selectExpr(*keys, f"stack(2, 0, {miles}, 1, {seconds}) AS (measure, value)")
-        .where(f"{exact('value')} IS NOT NULL")
+        .where(finite("value"))
     )
-    found = order_statistics(values, [*keys, "measure"], "value", MEDIAN_POSITIONS).withColumn(
-        "median", median_of(F.col("p0"), F.col("p1"))
-    )
-
+    found = values_at(values, [*keys, "measure"], "value", MEDIAN_POSITIONS)
+    held = [(measure, f"p{i}") for measure in (0, 1) for i in (0, 1)]
     return found.select(
-        *keys,
-        F.when(F.col("measure") == 0, F.col("median")).alias("median_distance"),
-        F.when(F.col("measure") == 1, F.col("median")).alias("median_duration"),
+        *keys, *[F.when(F.col("measure") == m, F.col(p)).alias(name) for name, (m, p) in zip(MIDDLES, held)]
     )
 
 
 def curated_rows(
     stats: DataFrame,
-    medians: DataFrame | None,
+    middles: DataFrame | None,
     zones: DataFrame,
     by: Sequence[str] = ("source_month",),
 ) -> DataFrame:
-    """Statistics to the published columns; days with only quarantined rows are left out."""
+    """Statistics to the published columns; days with only quarantined rows are left out. The middle
+    values come with the statistics, or by themselves, or not at all: then medians are null."""
     keys = [*by, *GROUP]
-    rows = stats.where(F.col("published") + F.col("reversed") > 0)
-    if medians is None:
-        rows = rows.withColumns(
-            {m: F.lit(None).cast("double") for m in ("median_distance", "median_duration")}
-        )
-    else:
-        # Statistics and medians of a group meet in one aggregation: no join on keys that may be
-        # null, and one shuffle.
-        both = rows.unionByName(medians, allowMissingColumns=True)
-        values = [c for c in both.columns if c not in keys]
-        rows = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
 
-    def mean(total: str, obs: str, places: int, parts: int = 1) -> Column:
-        return rounded_mean(F.col(total), F.col(obs) * parts, places)
+    def money(name: str) -> Column:
+        return F.coalesce(rounded_sum(F.col(name), 2), F.lit(0.0))
 
+    rows = stats.where(F.col("published") + F.col("reversed") > 0).select(
+        *keys,
+        F.col("published").alias("trips"),
+        *("distance_obs", "duration_obs", "fare_obs"),
+        rounded_mean(F.col("distance_sum"), F.col("distance_obs"), 3).alias("avg_distance_mi"),
+        rounded_quotient(F.col("duration_s"), F.col("duration_obs"), 2, 60).alias("avg_duration_min"),
+        rounded_mean(F.col("fare_sum"), F.col("fare_obs"), 2).alias("avg_fare_usd"),
+        money("revenue_sum").alias("yellow_revenue_usd"),
+        money("refund_sum").alias("refunds_usd"),
+        *[F.col(m) if m in stats.columns else F.lit(None).cast("double").alias(m) for m in MIDDLES],
+    )
+    if middles is not None:
+        # No join on keys that may be null. A row of statistics and at least one of values make a
+        # group, as values are of published trips.
+        both = rows.drop(*MIDDLES).unionByName(middles, allowMissingColumns=True)
+        rows = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
     # The median of whole seconds is a whole number of half seconds.
-    halves = (F.col("median_duration") * 2).cast("bigint")
-    money = {
-        name: F.coalesce(rounded_sum(F.col(total), 2), F.lit(0.0))
-        for name, total in (("yellow_revenue_usd", "revenue_sum"), ("refunds_usd", "refund_sum"))
-    }
+    halves = (median_of(F.col("seconds_0"), F.col("seconds_1")) * 2).cast("bigint")
     return (
         rows.withColumns(
             {
-                "trips": F.col("published"),
-                "avg_distance_mi": mean("distance_sum", "distance_obs", 3),
-                "median_distance_mi": round_half(F.col("median_distance"), 3),
-                "avg_duration_min": mean("duration_s", "duration_obs", 2, 60),
-                "median_duration_min": rounded_mean(halves, F.lit(120), 2),
-                "avg_fare_usd": mean("fare_sum", "fare_obs", 2),
-                **money,
+                "median_distance_mi": round_half(median_of(F.col("distance_0"), F.col("distance_1")), 3),
+                "median_duration_min": rounded_quotient(halves, F.lit(120), 2),
+                "net_revenue_usd": round_half(F.col("yellow_revenue_usd") + F.col("refunds_usd"), 2),
             }
         )
-        .withColumn(
-            "net_revenue_usd",
-            round_half(F.col("yellow_revenue_usd") + F.col("refunds_usd"), 2),
-        )
         .join(unique_dimension(zones), "location_id", "left")
         .select(*by, *CURATED)
     )
@@ -156,8 +173,8 @@ def zone_day(
     ``medians=False`` leaves the two median columns null and saves their pass.
     """
     flagged = flag_rows(trips, rules)
-    middle = daily_medians(flagged, rules, by) if medians else None
-    return curated_rows(daily_stats(flagged, rules, by), middle, zones, by)
+    middles = daily_middles(flagged, rules, by) if medians else None
+    return curated_rows(daily_stats(flagged, rules, by, middles), None, zones, by)
 
 
 def count_columns(stats: DataFrame) -> list[str]:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.metrics import MAP_SHARE, RANK_SHARE, coverage, metrics_long, solid
 from ..functions.scalars import change, direction, js_round, ratio
-from .order_stats import order_statistics
 from .slices import MONTH, ZONE, add_up, outlined_mean
 
 CLASSES = 6
@@ -130,13 +129,17 @@ def quantile_classes(
         .join(F.broadcast(map_floor(zone_slices, outlined, share)), MONTH)
         .withColumn("shown", solid(F.col("floor")))
     )
-    cuts = range(1, classes)
-    ranks = [lambda n, i=i: F.floor(F.lit(i) * n / F.lit(classes)).cast("bigint") for i in cuts]
-    edges = order_statistics(
-        known.select(MONTH, "metric", "value"), [MONTH, "metric"], "value", ranks
-    )
-    at_or_below = [(F.col("value") >= F.col(f"p{i}")).cast("int") for i in range(classes - 1)]
-    return known.join(F.broadcast(edges), [MONTH, "metric"]).select(
+    # A month and metric has one row for each zone of a map, so its zones are ranked in one window.
+    group = W.partitionBy(MONTH, "metric")
+    rank = F.row_number().over(group.orderBy("value", "location_id")) - 1
+    counted = known.withColumns({"rank": rank, "zones": F.count(F.lit(1)).over(group)})
+
+    def edge(i: int) -> Column:
+        at = F.floor(F.lit(i) * F.col("zones") / F.lit(classes)).cast("bigint")
+        return F.max(F.when(F.col("rank") == at, F.col("value"))).over(group)
+
+    at_or_below = [(F.col("value") >= F.col(f"edge_{i}")).cast("int") for i in range(1, classes)]
+    return counted.withColumns({f"edge_{i}": edge(i) for i in range(1, classes)}).select(
         MONTH, "metric", "location_id", "value", sum(at_or_below, F.lit(0)).alias("class"), "shown"
     )
 

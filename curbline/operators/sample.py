@@ -10,6 +10,7 @@ from ..config import Thresholds
 from .rules import NEEDED, with_duration
 
 PER_CONDITION = 20
+RANDOM = "random"
 RESIDUAL_ZONES = (264, 265)  # fixed values: location codes that are not places
 
 
@@ -42,36 +43,38 @@ def pathology_sample(
     """Up to ``per_condition`` rows of each kind, a row counting once per kind it shows, filled
     up to ``rows`` with a random sample of all trips.
 
-    Both picks are top-k by an order on the values themselves, so the sample is the same on
-    every run and every task sends on only its own k best rows. The random order is the digest
-    of the row under the seed; equal rows are interchangeable.
+    Every row is of the kind ``random`` too, so all picks are one top-k over one scan, by an order on
+    the values themselves: the sample is the same on every run and every task sends on only its
+    own best rows of each kind. The random order is the digest of the row under the seed; equal
+    rows are interchangeable. A number that is none, or too large to be one, is as good as any
+    other in the digest and sorts last.
     """
     wanted = conditions() if wanted is None else wanted
-    timed = with_duration(trips)
-    kinds = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in wanted.items()]))
+    shown = [F.when(cond, F.lit(name)) for name, cond in wanted.items()]
     columns = ["source_month", *NEEDED]
-    first = W.partitionBy("kind").orderBy(*columns)
-    broken = (
-        timed.select(*columns, F.explode(kinds).alias("kind"))
-        .withColumn("rn", F.row_number().over(first))
-        .where(F.col("rn") <= per_condition)
-        .select("kind", *columns)
-    )
-    text = F.concat_ws(
-        "|", F.lit(str(seed)),
-        *[F.col(c).cast("string") for c in NEEDED[:3]],
-        *[F.rint(F.col(c) * 100).cast("bigint").cast("string") for c in NEEDED[3:]],
+
+    def digits(column: str) -> Column:
+        near = F.abs(F.col(column)) < 1e15
+        return F.when(near, F.rint(F.when(near, F.col(column)) * 100).cast("bigint").cast("string")).when(
+            F.col(column).isNotNull(), F.lit("far")
+        )
+
+    draw = F.md5(
+        F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in NEEDED[:3]], *map(digits, NEEDED[3:]))
     )
-    drawn = timed.select(F.md5(text).alias("draw"), *columns).orderBy("draw", *columns).limit(rows)
-    both = broken.withColumn("draw", F.lit(None).cast("string")).unionByName(
-        drawn.withColumn("kind", F.lit("random"))
+    best = W.partitionBy("kind").orderBy("draw", *columns)
+    picked = (
+        with_duration(trips)
+        .select(*columns, F.explode(F.array_compact(F.array(*shown, F.lit(RANDOM)))).alias("kind"))
+        .withColumn("draw", F.when(F.col("kind") == RANDOM, draw))
+        .withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= max(rows, per_condition))
+        .where((F.col("kind") == RANDOM) | (F.col("place") <= per_condition))
     )
     # ``rows`` random rows and a few per kind have come this far: the count-off is small
-    chosen = F.col("draw").isNull()
-    taken = F.count(F.when(chosen, F.lit(1))).over(W.partitionBy())
-    place = F.row_number().over(W.partitionBy(chosen).orderBy("draw", *columns))
+    taken = F.count_if(F.col("kind") != RANDOM).over(W.partitionBy())
     return (
-        both.withColumns({"taken": taken, "place": place})
-        .where(chosen | (F.col("place") <= F.lit(rows) - F.col("taken")))
+        picked.withColumn("taken", taken)
+        .where((F.col("kind") != RANDOM) | (F.col("place") <= F.lit(rows) - F.col("taken")))
         .select("kind", *columns)
     )

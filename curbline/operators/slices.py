@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.metrics import SUMS
 from ..functions.scalars import is_weekend, ratio, rounded_median
@@ -15,13 +15,14 @@ EXACT = "decimal(38,4)"
 
 
 def _total(x: Column) -> Column:
-    return F.coalesce(F.sum(x.cast("decimal(18,4)")), F.lit(0)).cast(EXACT)
+    """An exact sum of published values; one of 10^34 or more raises."""
+    return F.coalesce(F.sum(x.cast(EXACT)), F.lit(0)).cast(EXACT)
 
 
 def _weighted(mean: str, obs: str) -> Column:
     """The sum behind a published mean, rebuilt from the mean and its denominator."""
-    product = F.col(mean).cast("decimal(18,4)") * F.col(obs).cast("decimal(18,0)")
-    return F.coalesce(F.sum(product), F.lit(0)).cast(EXACT)
+    product = F.col(mean).cast(EXACT) * F.col(obs).cast("decimal(19,0)")
+    return F.coalesce(F.sum(product.cast(EXACT)), F.lit(0)).cast(EXACT)
 
 
 def additive() -> list[Column]:
@@ -90,19 +91,29 @@ def zone_index(curated: DataFrame) -> DataFrame:
 def zone_month_dense(zone_slices: DataFrame) -> DataFrame:
     """Every zone in every month: absent sums are zero, absent medians stay null.
 
-    ``zone_slices`` carries the medians. The month list is one scalar value exploded per zone,
-    so no two tables are crossed. Zone names may be null and then match null.
+    ``zone_slices`` carries the medians and is read once. A zone's months become one row, which is
+    set beside the list of all months and taken apart again, so no two tables meet. The
+    window without a partition has one row for each zone. Zone names and months may be null.
     """
-    months = zone_slices.agg(F.array_sort(F.collect_set(MONTH))).scalar()
-    index = zone_slices.select(*ZONE).distinct().withColumn(MONTH, F.explode(months))
-    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (MONTH, *ZONE)]
-    dense = index.alias("i").join(reported(zone_slices).alias("s"), same, "left")
-    return dense.select(
-        *[f"i.{c}" for c in (MONTH, *ZONE)],
-        *[F.coalesce(f"s.{c}", F.lit(0)).alias(c) for c in SUMS],
-        "s.median_dist",
-        "s.median_dur",
+    carried = [*SUMS, "median_dist", "median_dur"]
+    zones = (
+        reported(zone_slices)
+        .groupBy(*ZONE)
+        .agg(F.collect_list(F.struct(MONTH, *carried)).alias("own"), F.collect_set(MONTH).alias("met"))
+        .withColumn("months", F.array_distinct(F.flatten(F.collect_set("met").over(W.partitionBy()))))
     )
+    missing = F.array_except("months", "met")
+    blank = F.transform(
+        missing,
+        lambda month: F.struct(
+            month.alias(MONTH),
+            *[
+                (F.lit(0) if c in SUMS else F.lit(None)).cast(kind).alias(c)
+                for c, kind in reported(zone_slices).select(*carried).dtypes
+            ],
+        ),
+    )
+    return zones.select(*ZONE, F.inline(F.concat("own", blank))).select(MONTH, *ZONE, *carried)
 
 
 def month_totals(curated: DataFrame) -> DataFrame:

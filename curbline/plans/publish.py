@@ -212,7 +212,7 @@ def publish_months(
                 totals = metrics.where(chosen)
                 rows = flagged.where(chosen)
                 curated = daily.curated_rows(
-                    stats.where(chosen), daily.daily_medians(rows, rules), zones
+                    stats.where(chosen), daily.daily_middles(rows, rules), zones
                 )
                 M.replace_months(
                     curated,

@@ -130,7 +130,7 @@ def test_unknown_zone_keeps_its_rows(spark, zones):
 
 
 def test_zone_id_overflow_raises(spark, zones):
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
         table_of(spark, zones, [ride("2023-06-20T10:00", 8, 1.0, 5.0, 5.0, zone=2**40)])
 
 
@@ -185,3 +185,56 @@ def test_one_zone_with_most_rows(spark, zones):
     out = daily.zone_day(df, zones, rules.default_rules()).collect()
     busiest = next(r for r in out if r["location_id"] == 7)
     assert busiest["median_distance_mi"] == round(median(r[4] for r in hot), 3)
+
+
+def test_totals_of_any_size(spark, zones):
+    """Amounts are doubles; their sums must not vanish, whatever they add up to."""
+    cases = {
+        20: [6e27, 6e27, 10.0],
+        21: [1e20, 2.25, -0.0],
+        22: [3e28, 1e28, 5.0],
+        23: [1e300, 1e300],
+        24: [9.99e27, 7.0] * 40,
+        25: [123456789012345678.0, 0.5],
+        26: [99999999999999.5, 0.5],
+    }
+    rows = [ride(f"2023-06-{day}T10:00", 8, 2.0, v, v) for day, own in cases.items() for v in own]
+    found = {r["date"].day: r for r in table_of(spark, zones, rows)}
+    assert found[20]["yellow_revenue_usd"] == 1.2e28 and found[20]["trips"] == 3
+    assert found[20]["avg_fare_usd"] == pytest.approx(4e27, rel=1e-15)
+    assert found[21]["yellow_revenue_usd"] == 1e20 and found[21]["avg_fare_usd"] == 33333333333333333334.08
+    assert found[22]["yellow_revenue_usd"] == 4e28 and found[22]["fare_obs"] == 3
+    assert found[23]["yellow_revenue_usd"] == 2e300
+    assert found[24]["yellow_revenue_usd"] == pytest.approx(9.99e27 * 40, rel=1e-15)
+    assert found[25]["yellow_revenue_usd"] == 123456789012345678.5 and found[25]["avg_fare_usd"] == 61728394506172839.25
+    assert found[26]["yellow_revenue_usd"] == 1e14 and found[26]["avg_fare_usd"] == 5e13
+
+
+def test_means_over_very_many_values(spark):
+    """Beyond 10^12 values, by counts that stand for them."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from curbline.functions.scalars import rounded_quotient
+
+    cases = [
+        (Decimal(10) ** 24 + 5, 10**15, 3, 1000000000.0),
+        (Decimal(3) * 10**13 + 1, 2 * 10**13, 2, 1.5),
+        (Decimal("1.0005"), 1, 3, 1.001),
+        (Decimal("-1.0005"), 1, 3, -1.001),
+        (Decimal("2.0009999999"), 2, 3, 1.0),
+        (Decimal("2.001"), 2, 3, 1.001),
+        (Decimal(-(10**26)), 3, 2, -33333333333333333333333333.33),
+        (Decimal(5), 0, 2, None),
+    ]
+    for total, count, places, mean in cases:
+        df = spark.createDataFrame([(total, count)], "t DECIMAL(38,10), n BIGINT")
+        assert df.select(rounded_quotient(F.col("t"), F.col("n"), places)).first()[0] == mean
+
+
+def test_stored_and_joined_middles_agree(spark, trips, zones):
+    own = rules.default_rules()
+    flagged = rules.flag_rows(trips, own)
+    apart = daily.curated_rows(daily.daily_stats(flagged, own), daily.daily_middles(flagged, own), zones)
+    assert sorted(map(str, apart.collect())) == sorted(map(str, daily.zone_day(trips, zones, own).collect()))

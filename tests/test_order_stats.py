@@ -60,7 +60,7 @@ def test_values_that_are_no_numbers_sort_last(spark):
 
 def test_buckets_grow_with_the_value(spark):
     values = sorted([0.0, -0.0, 1e-300, -1e-300, 1e308, -1e308, 3.2, 3.25, -3.2, 7.0, 1e9, float("inf"), -float("inf")])
-    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").select("v", order_stats.bucket_of("v").alias("b"))
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").select("v", order_stats.interval_of("v").alias("b"))
     found = [r["b"] for r in sorted(df.collect(), key=lambda r: r["v"])]
     assert found == sorted(found)
 
@@ -70,3 +70,24 @@ def test_no_action_while_the_plan_is_built(spark):
     before = set(tracker.getJobIdsForGroup(None))
     order_statistics(spark.range(100).selectExpr("id % 3 AS k", "id * 1D AS v"), ["k"], "v", MEDIAN_POSITIONS)
     assert set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_many_values_in_a_narrow_interval(spark):
+    """A million different values between 1.000 and 1.001: no walk holds more than a few thousand."""
+    df = spark.range(1_000_000).selectExpr("1 AS k", "1 + id / 1e9D AS v")
+    fine = df.select(order_stats.interval_of("v").alias("f")).groupBy("f").count()
+    assert fine.agg(F.max("count")).first()[0] < 2000
+    (row,) = order_statistics(df, ["k"], "v", MEDIAN_POSITIONS).collect()
+    assert (row["n"], row["p0"], row["p1"]) == (1_000_000, 1 + 499_999 / 1e9, 1 + 500_000 / 1e9)
+
+
+def test_the_counted_values_are_shuffled_once(spark, tmp_path):
+    """Every narrower step reads the exchange of the counts again."""
+    spark.range(1000).selectExpr("id % 3 AS k", "id * 1D AS v").write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = order_statistics(df, ["k"], "v", MEDIAN_POSITIONS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1

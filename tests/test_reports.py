@@ -224,5 +224,24 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in ranked and "Partial" in ranked
     drawn = sample.pathology_sample(spark.createDataFrame(CASES, TRIP_SCHEMA), 20)
     text = drawn._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in text and "TakeOrderedAndProject" in text
+    assert "WindowGroupLimit" in text and "Partial" in text and text.count("Scan ExistingRDD") == 1
     assert "CartesianProduct" not in text
+
+
+def test_sample_of_broken_numbers(spark):
+    """NaN, infinities and numbers beyond any whole number end nothing and are sampled like others."""
+    nan, inf = float("nan"), float("inf")
+    rows = [ride("2023-06-10T08:00", 12, m, f, t) for m in (nan, inf, -inf, 1e18, None) for f in (nan, 1e300, 5.0) for t in (-inf, nan, 1e18, -7.0)]
+    df = spark.createDataFrame(rows + CASES, TRIP_SCHEMA)
+    out = sample.pathology_sample(df, 500)
+    kinds = [r["kind"] for r in out.collect()]
+    assert {"implausible_distance", "zero_distance", "reversal", "random"} <= set(kinds)
+    assert sorted(map(str, out.collect())) == sorted(map(str, sample.pathology_sample(df.repartition(4), 500).collect()))
+    assert kinds.count("random") == len(rows) + len(CASES)
+
+
+def test_dense_table_and_classes_read_the_slices_once(spark, tmp_path):
+    df = slice_rows(spark, [(JAN, 1, 5, 50.4, -1.0, 5, 10.04, 5, 60, 5, 40), (FEB, 2, 7, 70, 0, 7, 10, 7, 60, 7, 40)])
+    df.withColumns({"median_dist": F.lit(1.5), "median_dur": F.lit(9.0)}).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    assert S.zone_month_dense(stored)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
