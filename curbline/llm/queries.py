@@ -98,20 +98,20 @@ def op13_repair(spark, sf):
 ORACLES = {
     "op3_topk": """
         WITH v AS (
-            SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
+            SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id,
                    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
             FROM embeddings
             WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
               AND NOT list_contains(list_transform(
                     embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
         s AS (
-            SELECT q.vec_id AS query_id, v.vec_id,
+            SELECT q.r, q.vec_id AS query_id, v.vec_id,
                    CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
-            FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x)
+            FROM v AS q JOIN v ON q.r <> v.r AND len(q.x) = len(v.x)
             WHERE q.vec_id % 50 = 0),
         r AS (
             SELECT *, CAST(row_number() OVER (
-                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+                PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
     "op9_exact_dedup": r"""

@@ -1,35 +1,44 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Vectors are integers. A block of vectors is indexed by component: its vectors in a few segments by
-quantised value. For a query, the segments of all components are worked through by descending
-impact (how far a segment's value lies above the component's lowest, times the query's component).
-A vector's accumulated impacts bound its score from below, and what the next segments of each
-component can still add bounds it from above. Work on a block ends when these bounds prove that all
-but a few vectors cannot be among the k best; the vectors that remain possible are scored exactly.
-
-Queries and vectors meet block by block: both carry the number of a bounded hash block, and every
-pair of blocks is one group. A block's best k per query are joined by a final ranking.
+Vectors are integers. A block of vectors is indexed once, by component: for every component and
+quantised level a posting list of the vectors whose value lies in it. For a query, the posting
+segments of all components are taken by descending impact (how far a segment's level lies above the
+component's lowest, times the query's component), a few at a time. A vector's accumulated impacts
+bound its score from below; what the best segment still waiting in each component can add, and the
+width of a level, bound it from above. After every few segments the vectors whose upper bound lies
+below the k-th best lower bound leave; work on the block ends when to score the others exactly takes
+less than the postings that wait, and that is done then.
+
+Before that, every query is held against a bounded sample of the vectors. The k-th best score of the
+sample is a proof that whatever stays below it is not among the k best, so a block whose best
+possible score is lower is not opened at all, and in other blocks vectors leave sooner.
+
+Vectors are shuffled once, to their blocks. Blocks hold vectors that are alike (by place and value of
+their largest component, cut where the sample says), so that their bounds are narrow; many equal
+vectors are cut by a hash of their row. The queries come to every block, as batches in a
+stream, and each block sends on its k best per query.
 """
 
 from __future__ import annotations
 
-
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import cut, ship
 
 K = 5  # fixed value
 SCALE = 256  # fixed value
 QUERY_PARTS = 50  # fixed value: ids divisible by it are queries
-BLOCK = 8192  # vectors of a block
-QUERY_BLOCK = 256
+BLOCK_VALUES = 2_000_000  # components of a block, about
 LEVELS = 32  # segments of a component
-FAR = 1 << 24  # components beyond it are scored without bounds
-STAGES = (0.6, 1.0)  # shares of the segments after which queries look whether they can stop
+GROUP = 64  # segments between two looks at the bounds
+SAMPLE_VALUES = 200_000  # components of the sample that gives the first bound
+CUTS = 256  # ranges of alike vectors at most; more blocks are made by hash
+EXACT = 1 << 53  # sums below it are exact as doubles
+FOUND = "query_row BIGINT, query_id BIGINT, vec_id BIGINT, score BIGINT"
 
 
 def integers(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -46,106 +55,181 @@ def integers(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
 
 
 class Index:
-    """A block's postings: for every component and level, the vectors whose value lies in that
-    level. A segment's impact for a query is the least it adds above the lowest (for a negative
-    query component: below the highest) level of its component.
+    """The posting lists of a block of vectors of one width."""
 
-    Queries are worked on together: each takes its own segments in its own order of impact, and
-    the segments of a stage are added up for all queries in one product with the postings.
-    """
+    def __init__(self, rows: np.ndarray, levels: int = LEVELS):
+        self.rows, self.levels = rows, levels
+        self.low, self.high = rows.min(axis=0), rows.max(axis=0)
+        self.step = np.maximum(1, -(-(self.high - self.low + 1) // levels))  # values of a level
+        level = (rows - self.low) // self.step
+        self.top = level.max(axis=0)
+        # One list of vectors for each component, by level; segment l is lists[j][at[j, l]:at[j, l + 1]].
+        self.lists = np.argsort(level, axis=0, kind="stable").T.copy()
+        bounds = np.arange(levels + 1)
+        self.at = np.array([np.searchsorted(level[own, j], bounds) for j, own in enumerate(self.lists)])
+        self.read = 0  # postings taken so far
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: int = LEVELS):
-        self.ids, self.rows = ids, rows
-        self.reach = int(np.abs(rows.astype(np.float64)).max(initial=0))
-        low, high = rows.min(axis=0), rows.max(axis=0)
-        self.step = np.maximum(1, -(-(high - low + 1) // levels))  # values of a level
-        self.level = (rows - low) // self.step
-        self.top = self.level.max(axis=0)
-        self.levels = levels
-
-    def postings(self, kind: type) -> np.ndarray:
-        n, width = self.level.shape
-        found = np.zeros((n, width * self.levels), kind)
-        place = self.level + np.arange(width) * self.levels
-        found[np.arange(n)[:, None], place] = 1
-        return found
-
-    def impacts(self, queries: np.ndarray) -> np.ndarray:
-        """[query, component, level]"""
-        up = np.arange(self.levels)[None, :]
-        height = np.where((queries > 0)[:, :, None], up[None], self.top[None, :, None] - up[None])
-        return np.maximum(height, 0) * (np.abs(queries) * self.step)[:, :, None]
-
-    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query the rows that may be among its k best, and their exact scores. Rows with
-        the query's own id are none of them."""
-        n_queries, width = queries.shape
-        if self.reach > FAR or np.abs(queries.astype(np.float64)).max(initial=0) > FAR:  # too far apart for levels
-            for query, mine in zip(queries, own):
-                rows = np.flatnonzero(self.ids != mine)
-                yield rows, self.rows[rows] @ query
-            return
-        impacts = self.impacts(queries).reshape(n_queries, -1)
-        ranked = np.argsort(-impacts, axis=1, kind="stable")
-        exact = int(np.abs(queries).max(initial=0)) * (self.reach + 1) * 4 * width < 1 << 24
-        kind = np.float32 if exact else np.float64
-        postings = self.postings(kind)
-        lower = np.zeros((n_queries, len(self.ids)), kind)
-        others = self.ids[None, :] != own[:, None]
-        possible = others.copy()
-        slack = (np.abs(queries) * (self.step - 1)).sum(axis=1)
-        waiting = np.arange(n_queries)
-        waits = impacts.copy()
-        done = 0
-        for share in STAGES:
-            upto = round(share * impacts.shape[1])
-            now = np.zeros((len(waiting), impacts.shape[1]), kind)
-            segments = ranked[waiting, done:upto]
-            np.put_along_axis(now, segments, np.take_along_axis(impacts[waiting], segments, 1), 1)
-            lower[waiting] += now @ postings.T
-            taken = waits[waiting]
-            np.put_along_axis(taken, segments, 0, 1)
-            waits[waiting] = taken
-            # Beyond its accumulated impacts a vector can have, in each component, the best segment
-            # still waiting, and less than a step in every one.
-            ahead = taken.reshape(len(waiting), width, self.levels).max(axis=2).sum(axis=1)
-            fit = possible[waiting]
-            if fit.shape[1] > k:
-                sums = np.where(fit, lower[waiting], -1)
-                floor = np.partition(sums, sums.shape[1] - k, axis=1)[:, sums.shape[1] - k]
-                fit &= sums + (ahead + slack[waiting])[:, None] >= np.maximum(floor, 0)[:, None]
-                possible[waiting] = fit
-            waiting = waiting[fit.sum(axis=1) > max(4 * k, fit.shape[1] // 64)]
-            done = upto
-            if not len(waiting):
+    def best_possible(self, query: np.ndarray) -> int:
+        return int(np.maximum(query * self.low, query * self.high).sum())
+
+    def possible(self, query: np.ndarray, others: np.ndarray, k: int, least: int | None) -> np.ndarray:
+        """The vectors that may be among the k best of a query, out of those marked in `others`.
+        `least` is a score that k others are known to reach."""
+        n, width = self.rows.shape
+        levels = np.arange(self.levels)
+        height = np.where((query > 0)[:, None], levels[None, :], self.top[:, None] - levels[None, :])
+        impact = np.maximum(height, 0) * (np.abs(query) * self.step)[:, None]
+        size = np.diff(self.at, axis=1)
+        taken = np.flatnonzero(((size > 0) & (impact > 0)).ravel())
+        order = taken[np.argsort(-impact.ravel()[taken], kind="stable")]
+        # What every vector has at least, and how far a level may reach beyond its lowest value.
+        floor = int(np.where(query > 0, query * self.low, query * (self.low + (self.top + 1) * self.step - 1)).sum())
+        slack = int((np.abs(query) * (self.step - 1)).sum())
+        waiting = np.where(size > 0, impact, 0)
+        ahead = waiting.max(axis=1)
+        known = np.zeros(n, np.int64)
+        fit = others.copy()
+        flat = self.at[:, :-1].ravel(), self.at[:, 1:].ravel()
+        plain = int(impact.max(initial=0)) * width < EXACT
+        left = int(size.ravel()[order].sum())
+        for start in range(0, len(order), GROUP):
+            own = order[start : start + GROUP]
+            parts = [self.lists[s // self.levels][flat[0][s] : flat[1][s]] for s in own.tolist()]
+            count = sum(map(len, parts))
+            self.read += count
+            left -= count
+            if plain:
+                added = np.repeat(impact.ravel()[own], [len(p) for p in parts])
+                known += np.bincount(np.concatenate(parts), added, n).astype(np.int64)
+            else:
+                for s, part in zip(own.tolist(), parts):
+                    known[part] += impact.ravel()[s]
+            waiting.ravel()[own] = 0
+            ahead = waiting.max(axis=1)
+            count = int(fit.sum())
+            bound = least
+            if count > k:
+                kth = int(np.partition(known[fit], count - k)[count - k]) + floor
+                bound = kth if bound is None else max(bound, kth)
+            if bound is not None:
+                fit &= known + (floor + int(ahead.sum()) + slack) >= bound
+            if fit.sum() * width <= left:
                 break
-        for query, fit in zip(queries, possible):
-            rows = np.flatnonzero(fit)
-            yield rows, self.rows[rows] @ query
-
-
-def _block_best(k: int):
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            for size, block in right.groupby(right["x"].map(len)):
-                asked = left[left["x"].map(len) == size]
-                if not len(asked) or not size:
+        return np.flatnonzero(fit)
+
+
+def _by_width(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """The rows of a batch as matrices, one for each number of components, with the named columns;
+    ``place`` names their place in the batch."""
+    lengths = batch.column("x").value_lengths().to_numpy()
+    flat = batch.column("x").flatten().to_numpy()
+    starts = np.cumsum(lengths) - lengths
+    for width in np.unique(lengths[lengths > 0]).tolist():
+        own = np.flatnonzero(lengths == width)
+        rows = flat[starts[own][:, None] + np.arange(width)]
+        columns = [own if n == "place" else np.array(batch.column(n).to_pylist(), object)[own] for n in names]
+        yield width, rows.astype(np.int64), *columns
+
+
+def _key(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Vectors that are alike have near keys: place of the largest component, its value, a hash."""
+    at = np.abs(rows).argmax(axis=1)
+    value = np.clip(rows[np.arange(len(rows)), at], -(1 << 22), (1 << 22) - 1) + (1 << 22)
+    return ((at % (1 << 19)) << 43) + (value << 20) + hashes % (1 << 20)
+
+
+class _Block:
+    def __init__(self):
+        self.parts: dict[int, list[tuple]] = {}
+        self.indexes: dict[int, tuple] = {}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for width, *own in _by_width(batch, "row", "vec_id"):
+            self.parts.setdefault(width, []).append(own)
+
+    def index(self, width: int) -> tuple | None:
+        if width not in self.indexes and width in self.parts:
+            rows, numbers, ids = map(np.concatenate, zip(*self.parts.pop(width)))
+            self.indexes[width] = (Index(rows), numbers.astype(np.int64), ids.astype(np.int64))
+        return self.indexes.get(width)
+
+
+def _blocks(k: int):
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block = None, _Block()
+        for batch in stream:
+            found: list[tuple] = []
+            edges = batch.column("block").to_numpy()
+            kinds = batch.column("asks").to_numpy(zero_copy_only=False)
+            changes = np.flatnonzero((edges[1:] != edges[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            for start, end in zip([0, *changes.tolist()], [*changes.tolist(), len(edges)]):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                if edges[start] != number:
+                    number, block = edges[start], _Block()
+                if not kinds[start]:
+                    block.add(part)
                     continue
-                ids = block["vec_id"].to_numpy(np.int64)
-                index = Index(ids, np.stack(block["x"].to_numpy()).astype(np.int64))
-                own = asked["vec_id"].to_numpy(np.int64)
-                queries = np.stack(asked["x"].to_numpy()).astype(np.int64)
-                for query_id, (rows, scores) in zip(own, index.best(queries, own, k)):
-                    order = np.lexsort((ids[rows], -scores))[:k]
-                    found.append(
-                        pd.DataFrame({"query_id": query_id, "vec_id": ids[rows][order], "score": scores[order]})
-                    )
-        if not found:
-            return pd.DataFrame({n: pd.Series([], "int64") for n in ("query_id", "vec_id", "score")})
-        return pd.concat(found)
-
-    return best
+                for width, queries, rows, ids, least in _by_width(part, "row", "vec_id", "least"):
+                    held = block.index(width)
+                    if held is None:
+                        continue
+                    index, numbers, vec_ids = held
+                    for query, row, query_id, bound in zip(queries, rows.tolist(), ids.tolist(), least.tolist()):
+                        if bound is not None and index.best_possible(query) < bound:
+                            continue
+                        fit = index.possible(query, numbers != row, k, bound)
+                        scores = index.rows[fit] @ query
+                        order = np.lexsort((vec_ids[fit], -scores))[:k]
+                        found += [(row, query_id, v, s) for v, s in zip(vec_ids[fit][order].tolist(), scores[order].tolist())]
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["query_row", "query_id", "vec_id", "score"]
+            )
+
+    return batches
+
+
+def _placed(sample, blocks: int):
+    """The block of each vector: a range of keys between cuts of the sample, and a share of it."""
+    cuts = min(blocks, CUTS)
+    shares = -(-blocks // cuts)
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [_key(rows, hashes.astype(np.int64)) for part in sample.value for _, rows, hashes in _by_width(part, "hash")]
+        keys = np.sort(np.concatenate(known)) if known else np.empty(0, np.int64)
+        edges = keys[np.arange(1, cuts) * len(keys) // cuts] if len(keys) else keys
+        for batch in stream:
+            block = np.zeros(batch.num_rows, np.int64)
+            for _, rows, place, hashes in _by_width(batch, "place", "hash"):
+                hashes = hashes.astype(np.int64)
+                block[place] = np.searchsorted(edges, _key(rows, hashes), "right") * shares + (hashes >> 20) % shares
+            yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], ["block", *batch.schema.names])
+
+    return batches
+
+
+def _bounded(sample, k: int):
+    """The k-th best score of each query in the sample; null where the sample has fewer others."""
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {w: (rows, numbers) for part in sample.value for w, rows, numbers in _by_width(part, "row")}
+        for batch in stream:
+            least: list = [None] * batch.num_rows
+            for width, queries, numbers, places in _by_width(batch, "row", "place"):
+                if width not in held:
+                    continue
+                rows, known = held[width]
+                for query, number, place in zip(queries, numbers.tolist(), places.tolist()):
+                    scores = (rows @ query)[known != number]
+                    if len(scores) >= k:
+                        least[place] = int(np.partition(scores, len(scores) - k)[len(scores) - k])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(least, pa.int64())], [*batch.schema.names, "least"]
+            )
+
+    return batches
 
 
 def nearest(
@@ -154,38 +238,48 @@ def nearest(
     vector: str = "embedding",
     k: int = K,
     query_parts: int = QUERY_PARTS,
-    block: int = BLOCK,
-    query_block: int = QUERY_BLOCK,
+    block_values: int = BLOCK_VALUES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of every query, all if there are fewer.
 
-    Queries are the vectors whose id is divisible by query_parts, candidates all but those of the
-    query's own id; ties go to the smaller id. Repeated rows are one vector. Vectors are held
-    against vectors of as many components; empty ones have no score. Left out are null vectors, those
-    with null or non-finite components, and those without id. An empty table gives no rows.
-    """
-    ship(vectors.sparkSession)
-    rows = cut(integers(vectors, id_col, vector).distinct())
-    is_query = F.col("vec_id") % query_parts == 0
-    n, asked = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
-    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-asked // query_block))
-
-    def numbered(name: str, parts: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(parts)).alias(name)
+    Queries are the rows whose id is divisible by query_parts, candidates all rows but the query's own;
+    ties go to the smaller id. Repeated rows are rows like others: each copy has a rank, and each
+    copy of a query a ranking. Vectors are held against vectors of as many components; empty ones have no
+    score. Left out are null vectors, those with null or non-finite components, and those without
+    id. Other columns are not read. An empty table gives no rows.
 
-    def each(name: str, parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias(name)
-
-    queries = rows.where(is_query).select(
-        numbered("q", query_blocks, 1), each("v", blocks), "vec_id", "x"
+    A block holds about `block_values` components in its task, whatever the width.
+    """
+    spark = vectors.sparkSession
+    ship(spark)
+    rows = cut(
+        integers(vectors, id_col, vector)
+        .where(F.size("x") > 0)
+        .withColumn("row", F.monotonically_increasing_id())
+        .withColumn("hash", F.shiftrightunsigned(F.xxhash64("row"), 1))
+    )
+    n, widest = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("x")), F.lit(1))).first()
+    blocks = max(1, -(-n * widest // block_values))
+    few = rows.orderBy("hash").limit(max(k + 1, SAMPLE_VALUES // widest))
+    sample = spark.sparkContext.broadcast(few.toArrow().to_batches())
+    kind = "vec_id BIGINT, x ARRAY<BIGINT>, row BIGINT, hash BIGINT"
+    placed = rows.mapInArrow(_placed(sample, blocks), f"block BIGINT, {kind}").drop("hash")
+    labels = min(blocks, CUTS) * -(-blocks // min(blocks, CUTS))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(labels - 1).cast("long"))
+    asked = (
+        rows.where(F.col("vec_id") % query_parts == 0)
+        .mapInArrow(_bounded(sample, k), f"{kind}, least BIGINT")
+        .drop("hash")
+        .withColumns({"block": F.explode(every), "asks": F.lit(True)})
     )
-    placed = rows.select(each("q", query_blocks), numbered("v", blocks, 2), "vec_id", "x")
     local = (
-        queries.groupBy("q", "v")
-        .cogroup(placed.groupBy("q", "v"))
-        .applyInPandas(_block_best(k), "query_id BIGINT, vec_id BIGINT, score BIGINT")
+        placed.withColumns({"asks": F.lit(False), "least": F.lit(None).cast("long")})
+        .unionByName(asked)
+        .repartition("block")
+        .sortWithinPartitions("block", "asks")
+        .mapInArrow(_blocks(k), FOUND)
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

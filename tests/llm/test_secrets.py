@@ -7,6 +7,7 @@ import re
 import pytest
 
 from llm_documents import make, none, odd  # noqa: F401
+from curbline.llm import secrets
 from curbline.llm.secrets import BASE, MORE, Rule, Scanner, secret_spans, trigram_query, trigrams
 
 # fixed values: the base rules as asked for
@@ -71,3 +72,37 @@ def test_odd_rows_and_more_rules(odd, none, make):
     assert (empty["spans"], empty["base_sha256"]) == ("", hashlib.sha256(b"").hexdigest())
     assert sum(x["spans"].startswith("word:") for x in out) == 5
     assert secret_spans(none).count() == 0
+
+
+HARD = {  # what each rule might begin again and again
+    "assign": ["password", "token ", "secret" + " " * 50, "api_key=", "passwd:'"],
+    "access": ["AKIA", "AKIAA "],
+    "hex": ["abcdef0123456789abcdef1 ", "0"],
+    "pem": ["-----BEGIN ", "-----BEGIN RSA PRIVATE ", "-----BEGIN" + " A" * 40],
+    "jwt": ["eyJ", "eyJaaaaaaaa.", "eyJaaaaaaaa.bbbbbbb.", "_-eyJ"],
+    "host": ["ghp_", "gho_aaaa"],
+    "chat": ["xoxb-", "xoxp-a "],
+    "login": ["://", "://a:", "a:b@", "://" + "x" * 30 + ":"],
+}
+
+
+@pytest.mark.parametrize("kind", list(HARD))
+def test_a_megabyte_of_beginnings(kind):
+    import time
+
+    scanner = secrets.Scanner((*secrets.BASE, *secrets.MORE))
+    assert {r.kind for r in scanner.rules} == HARD.keys()
+    for part in HARD[kind]:
+        start = time.process_time()
+        scanner.spans([part * (1_000_000 // len(part))])
+        assert time.process_time() - start < 2
+
+
+def test_tokens_inside_runs_are_those_of_the_plain_expression():
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    rule = next(r for r in secrets.MORE if r.kind == "jwt")
+    rng = random.Random(4)
+    for _ in range(4000):
+        parts = rng.choices(["eyJ", "a" * 8, "b" * 7, ".", ".", " ", "_", "ey"], k=rng.randrange(30))
+        text = "".join(parts)
+        assert [m.span(1) for m in re.finditer(rule.pattern, text)] == [m.span() for m in plain.finditer(text)]
