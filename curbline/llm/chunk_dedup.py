@@ -150,26 +150,44 @@ def exact_groups(docs: DataFrame, **options) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that stay, with all their columns. The full rows are moved once, to meet the
-    list of rows that stay; rows alike in id, length and text are one."""
+    """The documents that stay, with all their columns.
+
+    Who stays is decided on identifiers alone. The full rows are moved once, to meet the list of
+    those that stay, and of rows alike in id, length and text one is taken where they then stand, by a
+    hash of all columns that have one (maps have none).
+    """
     rows = recipes(docs, text, id_col, **options)
     stay = (
         rows.groupBy("recipe", "variants")
         .agg(F.min(F.struct(*_parts(), "text_sha256")).alias("keep"))
-        .select("keep.doc_id", F.col("keep.less").alias("less"), "keep.text_sha256")
+        .select(
+            F.col("keep.doc_id").alias("stay_id"),
+            F.col("keep.less").alias("stay_less"),
+            F.col("keep.text_sha256").alias("stay_text"),
+        )
+    )
+    # Plain keys, so that the last step finds the rows already together.
+    keys = {"text_key": "stay_text", "less_key": "stay_less", "id_key": "stay_id"}
+    named = stay.select(
+        "stay_text", "stay_less", F.col("stay_id").isNull().alias("stay_none"),
+        F.coalesce(F.col("stay_id").cast("string"), F.lit("")).alias("stay_id"),
     )
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
     keyed = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"),
-        F.col(id_col).alias("doc_id"),
-        (-F.length(F.coalesce(F.col(text), F.lit("")))).alias("less"),
-        F.sha2(normalised(F.col(text)), 256).alias("text_sha256"),
-    ).dropDuplicates(["text_sha256", "less", "doc_id"])
-    same = (
-        (keyed.text_sha256 == stay.text_sha256)
-        & (keyed.less == stay.less)
-        & keyed.doc_id.eqNullSafe(stay.doc_id)
+        F.xxhash64(*plain).alias("tie"),
+        F.sha2(normalised(F.col(text)), 256).alias("text_key"),
+        (-F.length(F.coalesce(F.col(text), F.lit("")))).alias("less_key"),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_key"),
+        F.col(id_col).isNull().alias("none_key"),
+    )
+    on = [F.col(a) == F.col(b) for a, b in (*keys.items(), ("none_key", "stay_none"))]
+    return (
+        keyed.join(named, on, "left_semi")
+        .groupBy(*keys, "none_key")
+        .agg(F.min_by("whole", "tie").alias("whole"))
+        .select("whole.*")
     )
-    return keyed.join(stay, same, "left_semi").select("whole.*")
 
 
 def _parts() -> list[Column]:

@@ -1,6 +1,6 @@
 """Mixing sources to target weights, block by block, with DataFrame operations only.
 
-The words of a source stand on one line, its documents in the order of a hash of their ids, and
+The words of a source stand on one line, its documents in the order of a hash, and
 are cut into blocks of a fixed number of words. The mix is a row of slots, dealt to output shards.
 Every slot draws its source at random by the targets (so a shard's counts per source are
 multinomial); what a source draws beyond its quota passes to sources below theirs. The slots of a
@@ -98,28 +98,41 @@ def quotas(sources: DataFrame, block: int) -> DataFrame:
     )
 
 
-def draw_shards(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+def draw_shards(sources: DataFrame, shard_slots: int, seed: int, n_sources: int) -> DataFrame:
     """(source_no, shard, first, n): how many slots of a shard a source gets, and the number of the
-    first of them among the source's slots. The counts of a source add up to its quota."""
-    ranked = sources.withColumn("upto", F.sum("slots").over(Window.orderBy("source_no")))
-    table = ranked.where("slots > 0").agg(
-        F.sort_array(F.collect_list(F.struct("upto", "source_no"))).alias("ends"),
-        F.coalesce(F.sum("slots"), F.lit(0)).alias("total"),
+    first of them among the source's slots. The counts of a source add up to its quota.
+
+    A draw is a number below the sum of all quotas, on which every source has a range. Ranges and
+    draws meet by cells of equal width, as many as there are sources, so that a draw is compared
+    with the few sources of its cell.
+    """
+    everything = Window.partitionBy()
+    ranges = (
+        sources.where("slots > 0")
+        .withColumn("upto", F.sum("slots").over(Window.orderBy("source_no")))
+        .withColumn("from", F.col("upto") - F.col("slots"))
+        .withColumn("total", F.sum("slots").over(everything))
+        .withColumn("width", F.expr("greatest(1L, total div count(1) OVER ())"))
     )
+    cells = ranges.select(
+        "source_no", "from", "upto", F.explode(F.expr("sequence(`from` div width, (upto - 1) div width)")).alias("cell")
+    )
+    table = ranges.agg(F.max("total").alias("total"), F.max("width").alias("width"))
     shards = table.where("total > 0").select(
-        "ends",
-        "total",
-        F.explode(F.expr(f"sequence(0L, (total - 1) div {shard_slots})")).alias("shard"),
+        "total", "width", F.explode(F.expr(f"sequence(0L, (total - 1) div {shard_slots})")).alias("shard")
     )
-    spread = shards.repartition("shard")
     slot = F.explode(
         F.expr(f"sequence(shard * {shard_slots}, least(total, (shard + 1) * {shard_slots}) - 1)")
     )
-    drawn = (
-        spread.select("ends", "total", "shard", slot.alias("slot"))
+    draws = (
+        shards.repartition("shard")
+        .select("total", "width", "shard", slot.alias("slot"))
         .withColumn("draw", F.expr(f"pmod(xxhash64(slot, {seed}L), total)"))
-        .withColumn("at", F.expr("aggregate(ends, 0, (n, e) -> n + IF(e.upto <= draw, 1, 0))"))
-        .select("shard", F.expr("ends[at].source_no").alias("source_no"))
+        .select("shard", "draw", F.expr("draw div width").alias("cell"))
+    )
+    drawn = (
+        _attach(draws, cells, "cell", n_sources)
+        .where("draw >= `from` AND draw < upto")
         .groupBy("source_no", "shard")
         .count()
     )
@@ -181,7 +194,7 @@ def slots(sources: DataFrame, block: int, shard_slots: int, seed: int, n_sources
         int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")),
         (sources.agg(F.sum("slots")).first()[0] or 0) >> 20,
     )
-    dealt = draw_shards(sources, shard_slots, seed).repartition(spread, "source_no", "shard").select(
+    dealt = draw_shards(sources, shard_slots, seed, n_sources).repartition(spread, "source_no", "shard").select(
         "source_no", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("ordinal")
     )
     info = sources.select("source_no", "blocks", "full_blocks", "tail", "passes", "rest", "slots")
@@ -208,9 +221,10 @@ def slots(sources: DataFrame, block: int, shard_slots: int, seed: int, n_sources
 
 def placed(rows: DataFrame, n_rows: int) -> DataFrame:
     """rows with `offset`, the words of the source before the document. Documents of a source go
-    by hash bucket of their id and by id; about sqrt(n) buckets of sqrt(n) documents."""
+    by hash bucket of id, size and text, and by id; about sqrt(n) buckets of sqrt(n) documents, also
+    where many documents have one id or none."""
     buckets = max(1, round(n_rows**0.5))
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_hash"), F.lit(buckets)))
     key = ["source_no", "bucket"]
     before = (
         bucketed.groupBy(*key)
@@ -292,32 +306,46 @@ def mixed_documents(
     """The documents of the mix with all their columns, each as often as the mix takes it.
 
     A document taken k and a fraction times its size comes k times, and once more with the
-    fraction as probability, by a hash of its id and text. Documents that the mix leaves out, and
-    texts without words, go.
+    fraction as probability, by a hash of its id and text. Rows alike in id, text and source are taken
+    together: what the mix takes of them is added up and dealt to them in turn. Documents that the
+    mix leaves out, and texts without words, go. Columns that no order can be put on (maps) take no
+    part in the order of such rows.
     """
     taken, _, _ = mix(docs, text, id_col, source, **options)
-    whole = F.expr("taken div size")
     luck = F.expr(f"pmod(xxhash64(doc_id, text_hash, {options.get('seed', SEED) + 2}L), 1000000007)")
-    copies = (
-        taken.where("taken > 0")
-        .withColumn("copies", whole + F.when(luck * F.col("size") < F.expr("(taken % size) * 1000000007D"), 1).otherwise(0))
+    part = F.when(luck * F.col("size") < F.expr("(words % size) * 1000000007D"), 1).otherwise(0)
+    copies = cut(
+        taken.groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("source").alias("name"), "size")
+        .agg(F.sum("taken").alias("words"), F.count(F.lit(1)).alias("alike"))
+        .where("words > 0")
+        .withColumns({"doc_id": F.col("id"), "text_hash": F.col("hash")})
+        .withColumn("copies", F.expr("words div size") + part)
         .where("copies > 0")
-        .groupBy("doc_id", "text_hash", "source")
-        .agg(F.max("copies").alias("copies"))
+        .select("id", "hash", "name", "alike", "copies")
     )
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
     keyed = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"),
+        F.xxhash64(*plain).alias("tie"),
         F.col(id_col).alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
         F.col(source).alias("source"),
     )
     same = (
-        (keyed.text_hash == copies.text_hash)
-        & keyed.doc_id.eqNullSafe(copies.doc_id)
-        & keyed.source.eqNullSafe(copies.source)
+        (F.col("text_hash") == F.col("hash"))
+        & F.col("doc_id").eqNullSafe(F.col("id"))
+        & F.col("source").eqNullSafe(F.col("name"))
+    )
+    turn = F.row_number().over(Window.partitionBy("id", "hash", "name").orderBy("tie"))
+    once = keyed.join(copies.where("alike = 1"), same).select("whole", "copies")
+    several = (
+        keyed.join(copies.where("alike > 1"), same)
+        .withColumn("turn", turn)
+        .select("whole", F.expr("copies div alike + IF(turn <= copies % alike, 1, 0)").alias("copies"))
+        .where("copies > 0")
     )
     return (
-        keyed.join(copies, same)
+        once.unionByName(several)
         .select("whole", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
         .select("whole.*")
     )

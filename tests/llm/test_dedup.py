@@ -38,6 +38,23 @@ def test_exact_groups_also_when_chunks_share_digests(make, odd, digest):
     assert kept.columns == docs.columns and kept.count() == groups
 
 
+def test_full_rows_are_moved_once(make):
+    docs = make([(i % 40, f"text {i % 9}", "en", str(i)) for i in range(200)] + [(None, "text 1", "en", "b")] * 3)
+    kept = chunk_dedup.deduplicate(docs)
+    spark = docs.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = chunk_dedup.deduplicate(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(text_key" in line]
+    assert len(moved) == 1
+    one = sorted(map(str, kept.collect()))
+    assert len(one) == 9 and one == sorted(map(str, chunk_dedup.deduplicate(docs.repartition(3)).collect()))
+
+
 def test_chunks_are_the_whole_text_and_follow_the_content(spark):
     rng = random.Random(5)
     body = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzа中", k=60_000))

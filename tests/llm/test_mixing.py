@@ -108,3 +108,37 @@ def test_documents_of_the_mix(docs, odd, none):
     assert mixing.mix(odd)[0].count() == odd.count()
     assert mixing.mixed_documents(odd).columns == odd.columns
     assert mixing.mix(none)[0].count() == 0 and mixing.mixed_documents(none).count() == 0
+
+
+def test_repeated_rows_and_rows_without_id(make):
+    """Half of all rows have no id, some are repeated often: targets are met all the same."""
+    rng = random.Random(8)
+    rows = [(None, " ".join(["w"] * rng.randrange(1, 60)) + f" {i}", "en", "hot") for i in range(400)]
+    rows += [(5, "a b c d e f g h", "en", "a")] * 20 + [(6, "x y z", "en", "b")] * 300
+    rows += [(100 + i, f"v {i} v v", "en", "c") for i in range(400)]
+    docs = make(rows)
+    options = {"block_words": 8, "shard_slots": 64}
+    taken, _, _ = mixing.mix(docs, **options)
+    target, got = {}, {}
+    for r in taken.collect():
+        target[r["source"]] = r["target"]
+        got[r["source"]] = got.get(r["source"], 0) + r["taken"]
+    assert got == {s: round(t) for s, t in target.items()}
+    out = mixing.mixed_documents(docs, **options).collect()
+    words = {}
+    for r in out:
+        words[r["source"]] = words.get(r["source"], 0) + len(r["text"].split())
+    for s in ("a", "b"):  # one text each, so only the last copy is left to chance
+        size = 8 if s == "a" else 3
+        assert abs(words[s] - target[s]) <= max(size, 0.01 * target[s])
+    assert set(out[0].asDict()) == set(docs.columns)
+
+
+def test_many_sources(make):
+    docs = make([(i, "w " * (i % 7), "en", f"s{i:04}") for i in range(600)])
+    taken, sources, plan = mixing.mix(docs, block_words=4, shard_slots=32)
+    quota = {r["source_no"]: r["slots"] for r in sources.collect() if r["slots"]}
+    dealt = {}
+    for r in plan.collect():
+        dealt[r["source_no"]] = dealt.get(r["source_no"], 0) + 1
+    assert dealt == quota
