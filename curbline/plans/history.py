@@ -12,7 +12,7 @@ RUN_SCHEMA = """
     run_id STRING, dataset STRING, source_month DATE, written_at TIMESTAMP_NTZ, trigger STRING,
     app_version STRING, git_sha STRING,
     source STRUCT<url: STRING, etag: STRING, last_modified: TIMESTAMP_NTZ, bytes: BIGINT,
-                  sha256: STRING>,
+                  sha256: STRING, moved: BOOLEAN>,
     schema STRUCT<columns: INT, extra: ARRAY<STRING>, missing_optional: ARRAY<STRING>>,
     rows STRUCT<input: BIGINT, published: BIGINT, reversed: BIGINT, rejected: BIGINT,
                 output: BIGINT, prev_version_input: BIGINT, nonfinite: BIGINT>,

@@ -250,3 +250,42 @@ def test_stored_old_runs_are_read_translated(spark, layout, zones):
     spark.createDataFrame(kept, stored.schema).write.mode("overwrite").parquet(layout.table("runs"))
     run = publish.read_runs(spark, layout).first()
     assert (run["rows"]["reversed"], run["rows"]["rejected"], run["rules"]["reversal"]) == (2, 1, 2)
+
+
+def test_a_load_that_fails_leaves_the_others(spark, layout, zones):
+    def load(month):
+        if month == JUN:
+            raise OSError("the line was cut")
+
+    inventory = M.file_inventory(spark, layout)
+    with pytest.raises(DataQualityError, match="2023-06: cannot be loaded: the line was cut"):
+        publish.process(spark, layout, inventory, date(2023, 9, 10), zones, load, limits=LOOSE)
+    assert M.stored_months(spark, layout) == [JUL]
+    assert reasons(spark, layout) == {JUN: "new", JUL: None}
+
+
+def test_what_was_loaded_is_recorded_and_a_move_reported(spark, layout, zones):
+    def load(month):
+        return {"etag": "newer", "bytes": 77} if month == JUL else None
+
+    inventory = M.file_inventory(spark, layout)
+    assert publish.process(spark, layout, inventory, date(2023, 9, 10), zones, load, limits=LOOSE) == [JUN, JUL]
+    runs = {r["source_month"]: r["source"] for r in publish.read_runs(spark, layout).collect()}
+    assert (runs[JUN]["moved"], runs[JUL]["moved"]) == (False, True)
+    assert (runs[JUL]["etag"], runs[JUL]["bytes"]) == ("newer", 77) and runs[JUL]["url"]
+    state = {r["source_month"]: r["etag"] for r in publish.read_state(spark, layout).collect()}
+    assert state[JUL] == "newer" and state[JUN] == runs[JUN]["etag"]
+
+
+def test_an_unreadable_file_is_named(spark, layout, zones):
+    import glob
+
+    (path, *_) = glob.glob(layout.month("raw", JUN) + "/*.parquet")
+    data = bytearray(open(path, "rb").read())
+    data[4:60] = bytes(56)
+    open(path, "wb").write(data)
+    for crc in glob.glob(layout.month("raw", JUN) + "/.*.crc"):
+        os.remove(crc)
+    with pytest.raises(DataQualityError, match=os.path.basename(path)):
+        publish.publish_months(spark, layout, [JUN, JUL], zones, LOOSE)
+    assert M.stored_months(spark, layout) == [JUL]
