@@ -9,7 +9,6 @@ this small table is broadcast and every whole text is scored where it is read.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -162,23 +161,18 @@ def learn(
                     )
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with tempfile.TemporaryFile() as file:
-            places, size = [], 0
-            for batch in stream:
-                for doc_id, own_mark, bag in zip(*(batch.column(k) for k in range(3))):
-                    n = file.write(bag.as_buffer()) // ENTRY.itemsize
-                    places.append((doc_id.as_py(), own_mark.as_py(), size, size + n))
-                    size += n
-            file.flush()
-            held = np.memmap(file, ENTRY, "r") if size else np.empty(0, ENTRY)
-            places.sort()
-            numbers, bias = fit([held[a:b] for _, _, a, b in places], [m for _, m, _, _ in places], how)
+        held = []
+        for batch in stream:
+            for doc_id, own_mark, bag in zip(*(batch.column(k) for k in range(3))):
+                held.append((doc_id.as_py(), own_mark.as_py(), np.frombuffer(bag.as_buffer(), ENTRY)))
+        held.sort(key=lambda row: row[:2])
+        numbers, bias = fit([bag for _, _, bag in held], [m for _, m, _ in held], how)
         yield pa.RecordBatch.from_arrays(
             [pa.array([numbers.tobytes()], pa.binary()), pa.array([bias])], ["numbers", "bias"]
         )
 
-    # Texts become bags where they are read; the bags are learned from in one task, which keeps them
-    # on its disk. Only the model comes to the driver.
+    # Texts become bags where they are read; the bags, as many as the sample has texts, are learned
+    # from in one task. Only the model comes to the driver.
     id_type = own.schema["doc_id"].dataType.simpleString()
     bags = sample.select("doc_id", "mark", "text").mapInArrow(
         bagged, f"doc_id {id_type}, mark {sample.schema['mark'].dataType.simpleString()}, bag BINARY"
