@@ -32,7 +32,7 @@ from .common import cut, ship
 K = 5  # fixed value
 SCALE = 256  # fixed value
 QUERY_PARTS = 50  # fixed value: ids divisible by it are queries
-BLOCK_VALUES = 2_000_000  # components of a block, about
+BLOCK_VALUES = 500_000  # components of a block, about
 LEVELS = 32  # segments of a component
 GROUP = 64  # segments between two looks at the bounds
 SAMPLE_VALUES = 200_000  # components of the sample that gives the first bound
