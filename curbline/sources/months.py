@@ -18,8 +18,8 @@ from ..operators.contract import (
     NEEDED,
     REQUIRED,
     SchemaReport,
-    check_curated,
-    check_trips,
+    accept_curated,
+    accept_trips,
 )
 from .layout import Layout
 
@@ -57,25 +57,10 @@ def footer_schemas(spark: SparkSession, files: Sequence[str]) -> dict[str, T.Str
 def check_month(
     spark: SparkSession, layout: Layout, month: date
 ) -> tuple[dict[str, T.StructType], SchemaReport]:
-    """The schema of every file of a raw month, and how the month differs from the baseline.
-
-    A file that breaks the contract is named; extra columns are those of any file, missing ones
-    those that some file lacks.
-    """
+    """The schema of every file of a raw month, and how the month differs from the baseline. Files
+    that break the contract are named with all that is wrong with them."""
     schemas = footer_schemas(spark, month_files(spark, layout.month("raw", month)))
-    reports, broken = [], []
-    for path, schema in schemas.items():
-        try:
-            reports.append(check_trips(schema))
-        except DataQualityError as error:
-            broken.append(f"{path.rsplit('/', 1)[-1]}: {error}")
-    if broken:
-        raise DataQualityError("; ".join(broken))
-    return schemas, SchemaReport(
-        max(r.columns for r in reports),
-        sorted(set().union(*(r.extra for r in reports))),
-        sorted(set().union(*(r.missing_optional for r in reports))),
-    )
+    return schemas, accept_trips({path.rsplit("/", 1)[-1]: schema for path, schema in schemas.items()})
 
 
 def _stored(spark: SparkSession, base: str, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -159,11 +144,14 @@ def read_curated(spark: SparkSession, layout: Layout) -> DataFrame:
         files = month_files(spark, base)
     except DataQualityError:
         raise DataQualityError(f"no published month under {base}") from None
-    schema = None
-    for path, schema in footer_schemas(spark, files).items():
-        check_curated(schema, f"{_month_of(path):%Y-%m}")
-    if schema is None:
+    schemas = footer_schemas(spark, files)
+    if not schemas:
         raise DataQualityError(f"no published month under {base}")
+    common: dict[str, T.StructType] = {}  # the columns that all files of a month have
+    for path, schema in schemas.items():
+        month = f"{_month_of(path):%Y-%m}"
+        common[month] = T.StructType([f for f in common.get(month, schema) if f.name in schema.names])
+    accept_curated(common)
     needed = T.StructType([schema[c] for c in ANALYTICS_COLUMNS])
     return _stored(spark, base, [base], needed).select(MONTH, *ANALYTICS_COLUMNS)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from curbline.errors import DataQualityError
 from curbline.operators import daily, rules
-from curbline.operators.contract import BASELINE, NEEDED, REQUIRED, check_trips
+from curbline.operators.contract import BASELINE, NEEDED, REQUIRED, accept_trips, findings
 from curbline.sources import adapter
 from curbline.sources import months as M
 from curbline.sources.layout import Layout
@@ -23,29 +23,51 @@ def full_schema(**changed):
     return T.StructType([T.StructField(c, t) for c, t in types.items() if t is not None])
 
 
+def check(schema):
+    return accept_trips({"a.parquet": schema})
+
+
+def test_findings_of_all_files_are_one_table():
+    files = {
+        "a": full_schema(trip_distance=None, brand_new=T.LongType()),
+        "b": full_schema(total_amount=T.StringType(), fare_amount=T.BooleanType()),
+        "c": full_schema(),
+    }
+    assert [(f.file, f.column, f.found) for f in findings(files, REQUIRED)] == [
+        ("a", "trip_distance", None),
+        ("b", "fare_amount", "boolean"),
+        ("b", "total_amount", "string"),
+    ]
+    with pytest.raises(DataQualityError, match="a: trip_distance: not there .*b: fare_amount: boolean is not numeric"):
+        accept_trips(files)
+    fit = {"a": full_schema(brand_new=T.LongType()), "b": full_schema(Airport_fee=None)}
+    report = accept_trips(fit)
+    assert (report.columns, report.extra, report.missing_optional) == (21, ["brand_new"], ["Airport_fee"])
+
+
 def test_full_schema_has_no_drift():
-    report = check_trips(full_schema())
+    report = check(full_schema())
     assert (report.columns, report.extra, report.missing_optional) == (20, [], [])
 
 
 def test_older_schema_passes_and_the_difference_shows():
-    report = check_trips(full_schema(cbd_congestion_fee=None))
+    report = check(full_schema(cbd_congestion_fee=None))
     assert (report.columns, report.missing_optional) == (19, ["cbd_congestion_fee"])
 
 
 def test_new_column_is_no_reason_to_fail():
-    assert check_trips(full_schema(brand_new=T.LongType())).extra == ["brand_new"]
+    assert check(full_schema(brand_new=T.LongType())).extra == ["brand_new"]
 
 
 def test_missing_required_column_fails():
     with pytest.raises(DataQualityError, match="trip_distance"):
-        check_trips(full_schema(trip_distance=None))
+        check(full_schema(trip_distance=None))
 
 
 def test_every_wrong_type_is_listed():
     wrong = {"total_amount": T.StringType(), "PULocationID": T.DoubleType(), "tpep_pickup_datetime": T.LongType()}
     with pytest.raises(DataQualityError) as caught:
-        check_trips(full_schema(**wrong))
+        check(full_schema(**wrong))
     assert all(c in str(caught.value) for c in wrong)
 
 
@@ -56,7 +78,7 @@ def test_kinds_are_loose():
         "trip_distance": T.IntegerType(),
         "tpep_pickup_datetime": T.DateType(),
     }
-    assert check_trips(full_schema(**loose)).extra == []
+    assert check(full_schema(**loose)).extra == []
 
 
 def test_zone_file_keeps_its_words(spark, tmp_path):
