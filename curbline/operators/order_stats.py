@@ -96,10 +96,12 @@ def values_at(
         .withColumn("_fine", interval_of("_v"))
         .withColumn("_coarse", F.shiftright("_fine", COARSE_BITS))
     )
+    # In the order of the running sum, so that one sort and one pass serve both.
+    whole = W.partitionBy(*inner).orderBy("_coarse").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     sums = (
         counted.groupBy(*inner, "_coarse")
         .agg(F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_d"))
-        .withColumn("_n", F.sum("_c").over(W.partitionBy(*inner)))
+        .withColumn("_n", F.sum("_c").over(whole))
     )
     base = F.col("_base")
     wanted = holding(sums, [], "_coarse", F.lit(0))
