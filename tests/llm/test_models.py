@@ -148,38 +148,90 @@ def test_scores_and_their_exact_parts(make, odd, none, corpus, monkeypatch):
     assert lm_score.scores(none).count() == 0
 
 
-def test_the_network_is_a_distribution_and_learns():
+def test_words_are_cut_as_the_contract_says():
+    import pyarrow as pa
+
+    texts = ["", "  ", " A\x0bb\x0cC\td\re\nf  ", "\x1cx\x85y\u00a0Z \u2003 \u00c4", "one"]
+    words, sizes = lm_score.words_of(pa.array(texts, pa.string()))
+    expected = [lm_tokens(t)[:-1] for t in texts]
+    assert [w.decode() for w in words.to_pylist()] == sum(expected, []) and sizes.tolist() == list(map(len, expected))
+
+
+def test_score_is_a_loop_over_tokens(make, corpus, monkeypatch):
+    """Every text by itself, a token at a time: class, unit in the class, share of the rest."""
+    monkeypatch.setattr(lm_score, "FREQUENT", 400)
+    kept = {}
+    for name in ("make_units", "unit_room", "fit_network"):
+        def keep(*args, own=getattr(lm_score, name), name=name, **more):
+            kept[name] = own(*args, **more)
+            return kept[name]
+
+        monkeypatch.setattr(lm_score, name, keep)
+    out = {r["doc_id"]: r["score"] for r in lm_score.scores(make(corpus)).collect()}
+    known, room, lay = kept["make_units"], kept["unit_room"], lm_score.LAYOUT
+    model = gru.unpacked(kept["fit_network"].astype(np.float64), lay)
+    unit_of = dict(zip(known.words, known.units.tolist()))
+    counts = Counter(w for i, t, *_ in corpus if zlib.crc32(str(i).encode()) % 7 != 2 for w in lm_tokens(t))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    H = gru.HIDDEN
+    for i, text, *_ in corpus[::12]:
+        h, total = np.zeros(H), 0.0
+        for token in lm_tokens(text):
+            raw = token.encode()
+            unit = unit_of.get(raw)
+            if unit is None:
+                unit = int(lm_score.rest_of(lm_score.group_of([raw], known.centres))[0])
+            group, cell = divmod(unit - lay.alone, lay.cells)
+            of_class = softmax(h @ model["output"] + model["output_bias"])
+            if unit < lay.alone:
+                chance = of_class[unit]
+            else:
+                inside = softmax(h @ model["within"][group] + model["within_bias"][group])
+                chance = of_class[lay.alone + group] * inside[cell]
+                if cell == lay.cells - 1:
+                    chance *= (counts[token] + 1) / room[unit]
+            total += math.log10(chance)
+            x, back = model["input"][unit] + model["bias"], h @ model["state"]
+            update, reset = sigmoid(x[:H] + back[:H]), sigmoid(x[H : 2 * H] + back[H : 2 * H])
+            fresh = np.tanh(x[2 * H :] + reset * back[2 * H :])
+            h = update * h + (1 - update) * fresh
+        assert out[i] == pytest.approx(total, rel=1e-4)
+
+
+@pytest.mark.parametrize("lay", [gru.Layout(6, 0, 1), gru.Layout(2, 2, 2)])
+def test_the_network_is_a_distribution_and_learns(lay):
     rng = np.random.default_rng(1)
     n = 6
     prior = np.full(n, 1 / n)
-    flat = gru.initial(n, 1, prior)
+    flat = gru.initial(lay, 1, prior)
     # all sequences of three classes share the whole probability
     every = [np.array([a, b, c], np.uint8) for a in range(n) for b in range(n) for c in range(n)]
-    assert np.exp(gru.log_chances(flat, every, n)).sum() == pytest.approx(1, abs=1e-4)
+    assert np.exp(gru.log_chances(flat, every, lay)).sum() == pytest.approx(1, abs=1e-4)
     # texts that stay within one half of the classes
     texts = [rng.integers(0, 3, 40).astype(np.uint8) + 3 * rng.integers(0, 2, dtype=np.uint8) for _ in range(1500)]
-    trained = gru.train(flat, texts[:1200], n)
-    per_token = gru.log_chances(trained, texts[1200:], n).sum() / (300 * 40)
+    trained = gru.train(flat, texts[:1200], lay)
+    per_token = gru.log_chances(trained, texts[1200:], lay).sum() / (300 * 40)
     assert per_token > -1.35  # log(1/6) is -1.79, log(1/3) is -1.10
-    assert np.exp(gru.log_chances(trained, every, n)).sum() == pytest.approx(1, abs=1e-4)
+    assert np.exp(gru.log_chances(trained, every, lay)).sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_gradients_are_those_of_the_loss():
-    n = 4
-    flat = gru.initial(n, 3, np.full(n, 0.25)).astype(np.float64)
+@pytest.mark.parametrize("lay", [gru.Layout(4, 0, 1), gru.Layout(0, 2, 2), gru.Layout(1, 1, 3)])
+def test_gradients_are_those_of_the_loss(lay):
+    flat = gru.initial(lay, 3, np.full(4, 0.25)).astype(np.float64)
     text = np.array([0, 1, 2, 3, 1, 0, 2, 1], np.uint8)
 
     def loss(x):
-        return -gru.log_chances(x, [text], n)[0] / len(text)
+        return -gru.log_chances(x, [text], lay)[0] / len(text)
 
-    model = gru.unpacked(flat.copy(), n)
+    model = gru.unpacked(flat.copy(), lay)
     seen = np.full(len(flat), 1e30)  # steps too small to move: the sum of squares keeps the gradient
     base = flat.copy()
-    gru._window(model, base, seen, text[:, None].astype(np.int64), np.array([[k == 0] for k in range(8)]), np.zeros((1, gru.HIDDEN)), n)
+    gru._window(model, base, seen, text[:, None].astype(np.int64), np.array([[k == 0] for k in range(8)]), np.zeros((1, gru.HIDDEN)), lay)
     rng = np.random.default_rng(2)
     moved = flat.copy()
     zero = np.zeros(len(flat))
-    gru._window(gru.unpacked(moved, n), moved, zero, text[:, None].astype(np.int64), np.array([[k == 0] for k in range(8)]), np.zeros((1, gru.HIDDEN)), n)
+    gru._window(gru.unpacked(moved, lay), moved, zero, text[:, None].astype(np.int64), np.array([[k == 0] for k in range(8)]), np.zeros((1, gru.HIDDEN)), lay)
     for i in rng.choice(len(flat), 60, replace=False):
         up, down = flat.copy(), flat.copy()
         up[i] += 1e-4
