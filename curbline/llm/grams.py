@@ -83,8 +83,8 @@ class Stream:
         self.points, self.blank, self.text = self.points[stays], self.blank[stays], self.text[stays]
 
     def grams(self, n: int, bits: int, inside_words: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and text of every n-gram; with inside_words, blanks may stand at the ends only.
-        A blank between two texts begins the later one and may end a word of the earlier."""
+        """Bucket and text of every n-gram; with inside_words, blanks may stand at the ends only;
+        without, an n-gram has a letter at least and letters of one text only. A blank between two texts begins the later one and may end a word of the earlier."""
         count = len(self.points) - n + 1
         if count <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -103,7 +103,13 @@ class Stream:
                 fine &= ~(self.blank[:count] & self.blank[n - 1 :])
             owner = np.where(self.blank[:count], self.text[min(1, n - 1) : min(1, n - 1) + count], owner)
         else:
-            fine = self.text[:count] == self.text[n - 1 :]
+            # Whose blank stands between two texts depends on its neighbours, so letters decide.
+            low, high = np.full(count, self.n), np.full(count, -1)
+            for k in range(n):
+                own, blank = self.text[k : k + count], self.blank[k : k + count]
+                low = np.where(blank, low, np.minimum(low, own))
+                high = np.where(blank, high, np.maximum(high, own))
+            fine, owner = low == high, low
         return bucket[fine], owner[fine]
 
     def word_codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -44,6 +44,47 @@ def test_language_of_held_out_texts(make, odd, none, corpus):
     assert {r["lang_pred"] for r in langid.identify(odd, langid.learn(none)).collect()} == {"und"}
 
 
+def test_languages_are_those_of_a_plain_loop(make, odd, corpus):
+    """Naive Bayes over dicts, one text at a time; only the bucket of an n-gram is the operator's."""
+    signs = [(i, t + end, lang, s) for (i, t, lang, s), end in zip(corpus, [".", "", " ", "! ?", " 7 x"] * 48)]
+    docs = make(signs).unionByName(odd)
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+
+    def grams(text):
+        line = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        found = [(n, line[k : k + n]) for n in langid.LENGTHS for k in range(len(line) - n + 1)]
+        return [(n, bucket(g)) for n, g in found if g.strip()]
+
+    def bucket(gram):
+        code = len(gram)
+        for c in gram:
+            code = (code * 0x100000001B3 + ord(c)) % (1 << 64)
+        return code * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - langid.BITS)
+
+    counts, sums, texts = {}, Counter(), Counter()
+    for i, t, lang in rows:
+        if None not in (i, t, lang) and zlib.crc32(str(i).encode()) % 4 != 2:
+            texts[lang] += 1
+            counts.setdefault(lang, Counter()).update(grams(t))
+    for lang, own in counts.items():
+        for (n, _), c in own.items():
+            sums[lang, n] += c
+    out = Counter((str(r["doc_id"]), r["lang_pred"], round(r["score"], 3)) for r in langid.languages_of(docs).collect())
+    expected = Counter()
+    for i, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            expected[str(i), "und", 0.0] += 1
+            continue
+        logs = {
+            lang: math.log(texts[lang] / sum(texts.values()))
+            + sum(math.log((own[g] + 1) / (sums[lang, g[0]] + (1 << langid.BITS))) for g in grams(t))
+            for lang, own in sorted(counts.items())
+        }
+        best = max(logs, key=logs.get)
+        expected[str(i), best, round(1 / sum(math.exp(x - logs[best]) for x in logs.values()), 3)] += 1
+    assert out == expected
+
+
 def test_long_texts_are_read_to_their_end(make, corpus):
     long = " ".join(["abcd"] * 3 + ["klmn"] * 120_000)
     (r,) = langid.identify(make([(2, long, "aa", "a")]), langid.learn(make(corpus))).collect()
