@@ -37,6 +37,33 @@ def whole_sum(x: str) -> str:
     return f"sum(cast({x} AS decimal(28,0)))"
 
 
+def cents(x: str) -> str:
+    """SQL for the whole hundredths of a number below 10^6 that has no more than two places; null for
+    any other. The double next to a decimal of so few digits has that decimal as its notation."""
+    whole = f"rint({x} * 100)"
+    return f"CASE WHEN abs({x}) < 1e6D AND {whole} / 100 = {x} THEN cast({whole} AS bigint) END"
+
+
+def add_cents(parts: Column, hundredths: Column) -> Column:
+    """A sum in parts with whole hundredths added; either may be null."""
+    near = hundredths.cast("decimal(19,0)") * F.lit(Decimal("0.01"))
+    low = F.coalesce(parts["low"].try_cast(TOTAL) + near, parts["low"], near).cast("decimal(38,10)")
+    return F.struct(low.alias("low"), parts["high"].alias("high"), parts["huge"].alias("huge"))
+
+
+def whole_quotient(total: Column, count: Column, per: int, places: int) -> Column:
+    """A total below 10^15 divided by (count x per), rounded once half away from zero, in 64 bits."""
+    scaled, by = F.abs(total) * F.lit(10**places), count * F.lit(per)
+    steps = F.call_function("div", scaled, by) + F.when(scaled % by * 2 >= by, 1).otherwise(0)
+    signed = F.when(total < 0, -steps).otherwise(steps)
+    return F.when(count > 0, signed.cast("double") / F.lit(float(10**places)))
+
+
+def is_small(total: Column) -> Column:
+    """Whether ``whole_quotient`` takes a total."""
+    return total.between(-(10**15), 10**15)
+
+
 def _total(parts: Column) -> Column:
     """The exact total of parts; null where it has 10^27 or more, or where nothing was summed."""
     high = (parts["high"].try_cast("decimal(15,0)") * F.lit(10**14)).try_cast(TOTAL)
