@@ -369,7 +369,11 @@ def peak_day(spark, sf):
 
 @query
 def mean_vs_median(spark, sf):
-    return ranking.mean_vs_median(_zone_slices(spark, sf, medians=True))
+    trips, rules = adapter.trips(spark, sf), R.default_rules()
+    # Trips are counted for every zone first, so that only those shown need medians.
+    shown = ranking.busiest_zones(daily.zone_trips(trips, rules))
+    curated = daily.zone_day(daily.trips_of(trips, shown), adapter.zones(spark, sf), rules)
+    return ranking.mean_vs_median(S.zone_slices(curated, medians=True))
 
 
 @query

@@ -308,6 +308,26 @@ def zone_day(
     return curated_rows(stats.join(others, same, "left"), None, zones, by)
 
 
+def zone_trips(
+    trips: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ("source_month",)
+) -> DataFrame:
+    """(by, location_id, trips): published trips of every zone that the published table has."""
+    zone = [*by, "location_id"]
+    rows = _measured(_keyed(flag_rows(trips, rules), rules), rules, zone)
+    counts = {"trips": "count_if(NOT _reversed)", "_kept": "count(_reversed)"}
+    found = rows.groupBy(*zone).agg(*[F.expr(e).alias(name) for name, e in counts.items()])
+    return found.where("_kept > 0").drop("_kept")
+
+
+def trips_of(trips: DataFrame, zones: DataFrame, by: Sequence[str] = ("source_month",)) -> DataFrame:
+    """The raw trips of a short table of (by, location_id), before any rule is looked at; for rules that
+    null no PULocationID."""
+    raw = [*[F.col(k) for k in by], F.col("PULocationID").cast("int")]
+    wanted = F.broadcast(zones.select(*[F.col(k).alias(f"_{k}") for k in [*by, "location_id"]]))
+    same = [x.eqNullSafe(F.col(f"_{k}")) for x, k in zip(raw, [*by, "location_id"])]
+    return trips.join(wanted, same, "left_semi")
+
+
 def count_columns(stats: DataFrame) -> list[str]:
     """The row counts among the statistics; sums of measurements stay with their group."""
     whole = ("input", "published", "reversed", "rejected", "nonfinite")

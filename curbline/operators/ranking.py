@@ -82,15 +82,19 @@ def peak_day(day_slices: DataFrame) -> DataFrame:
     return days.groupBy(MONTH, "metric").agg(peak.alias("p")).select(MONTH, "metric", "p.*")
 
 
+def busiest_zones(zones: DataFrame, top: int = BUSIEST) -> DataFrame:
+    """The rows of the zones with most trips in a month, ranked. Tasks keep only their own best rows
+    before the shuffle."""
+    order = W.partitionBy(MONTH).orderBy(F.desc("trips"), F.asc("location_id"))
+    return zones.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
 def mean_vs_median(zone_slices: DataFrame, top: int = BUSIEST) -> DataFrame:
     """The busiest zones of a month with mean, median and coverage side by side.
 
-    ``zone_slices`` carries the medians.
+    ``zone_slices`` carries the medians. It may hold the busiest zones alone.
     """
-    order = W.partitionBy(MONTH).orderBy(F.desc("trips"), F.asc("location_id"))
-    busiest = zone_slices.withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= top
-    )
+    busiest = busiest_zones(zone_slices, top)
     c = F.col
 
     def low(share: str):
