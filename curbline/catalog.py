@@ -287,7 +287,8 @@ def zone_month(spark, sf):
 
 @query
 def zone_month_median(spark, sf):
-    return S.zone_month_median(_curated(spark, sf, medians=True))
+    rules = R.default_rules()
+    return S.zone_month_median(daily.day_medians(adapter.trips(spark, sf), adapter.zones(spark, sf), rules))
 
 
 @query

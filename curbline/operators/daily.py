@@ -29,8 +29,9 @@ MIDDLES = ["distance_0", "distance_1", "seconds_0", "seconds_1"]  # the two midd
 
 
 SECONDS = "_seconds BETWEEN -1000000000 AND 1000000000"  # durations that are summed in 64 bits
-BUCKETS = 1 << 16  # by a hash of the group
+BUCKETS = 1 << 16  # by a hash of month and zone
 CROWDED = 1 << 18  # rows of a bucket whose groups are spread over all tasks
+DEALT = 200  # partitions for the rows of all other groups: a task's memory is their share, on any cluster
 VALUES = {
     "distance": "_miles",
     "fare": "_fare",
@@ -100,13 +101,15 @@ def _other_sums(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _by_size(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _by_size(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The rows of groups that one task can hold, and those of groups that must be spread.
 
     Groups are counted by buckets of a hash, so that the list of crowded ones, which is broadcast,
-    has a length that does not depend on the data.
+    has a length that does not depend on the data. The days of a zone are counted together: that
+    takes two columns and none of the rules.
     """
-    dealt = rows.withColumn("_bucket", F.expr(f"pmod(hash({', '.join(keys)}), {BUCKETS})"))
+    coarse = ", ".join([*by, "location_id"])
+    dealt = rows.withColumn("_bucket", F.expr(f"pmod(hash({coarse}), {BUCKETS})"))
     crowded = F.broadcast(
         dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWDED).select("_bucket")
     )
@@ -115,10 +118,13 @@ def _by_size(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
 
 def _ranked_middles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``_measured`` rows with the middle values of their group on the rows that hold them. A group is
-    sorted in one task; both measures and the sums after them share one shuffle of the rows."""
+    sorted in one task; both measures and the sums after them share one shuffle of the rows. Groups
+    are sorted by a digest first, which tells almost all of them apart by one whole number, where a
+    month tells few."""
+    rows = rows.withColumn("_digest", F.xxhash64(*keys))
     for measure, value in (("distance", "_miles"), ("seconds", "_seconds")):
         known = F.expr(f"CASE WHEN {finite(value)} THEN cast({value} AS double) + 0D END")
-        group = W.partitionBy(*keys).orderBy(F.asc_nulls_last("_value"))
+        group = W.partitionBy("_digest", *keys).orderBy(F.asc_nulls_last("_value"))
         whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         ranked = rows.withColumn("_value", known).withColumns(
             {"_rank": F.row_number().over(group) - 1, "_n": F.count("_value").over(whole)}
@@ -128,7 +134,7 @@ def _ranked_middles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             for i, position in enumerate(MEDIAN_POSITIONS)
         }
         rows = ranked.withColumns(middles).drop("_value", "_rank", "_n")
-    return rows
+    return rows.drop("_digest")
 
 
 def _spread_middles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,6 +149,17 @@ def _spread_middles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _medians() -> dict[str, Column]:
+    """The published medians out of the middle values."""
+    # The median of whole seconds is a whole number of half seconds.
+    halves = (median_of(F.col("seconds_0"), F.col("seconds_1")) * 2).cast("bigint")
+    return {
+        "median_distance_mi": round_half(median_of(F.col("distance_0"), F.col("distance_1")), 3),
+        "median_duration_min": F.when(is_small(halves), whole_quotient(halves, F.lit(1), 120, 2))
+        .otherwise(rounded_quotient(halves, F.lit(120), 2)),
+    }
+
+
 def row_stats(
     flagged: DataFrame,
     rules: Sequence[Rule],
@@ -201,8 +218,8 @@ def daily_middles(
     finite values. A group has up to four rows, each with some of the four."""
     keys = [*by, *GROUP]
     keyed = _keyed(flagged, rules).where(PUBLISHED)
-    few, many = (_measured(rows, rules, keys) for rows in _by_size(keyed, keys))
-    near = _ranked_middles(few, keys).groupBy(*keys).agg(*[F.max(m).alias(m) for m in MIDDLES])
+    few, many = (_measured(rows, rules, keys) for rows in _by_size(keyed, by))
+    near = _ranked_middles(few.repartition(DEALT, *keys), keys).groupBy(*keys).agg(*[F.max(m).alias(m) for m in MIDDLES])
     return near.unionByName(_spread_middles(many, keys))
 
 
@@ -267,22 +284,23 @@ def curated_rows(
         # group, as values are of published trips.
         both = rows.drop(*MIDDLES).unionByName(middles, allowMissingColumns=True)
         rows = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
-    # The median of whole seconds is a whole number of half seconds.
-    halves = (median_of(F.col("seconds_0"), F.col("seconds_1")) * 2).cast("bigint")
+    net = round_half(F.col("yellow_revenue_usd") + F.col("refunds_usd"), 2)
     return (
-        rows.withColumns(
-            {
-                "median_distance_mi": round_half(median_of(F.col("distance_0"), F.col("distance_1")), 3),
-                "median_duration_min": F.when(is_small(halves), whole_quotient(halves, F.lit(1), 120, 2))
-                .otherwise(rounded_quotient(halves, F.lit(120), 2)),
-                "net_revenue_usd": round_half(F.col("yellow_revenue_usd") + F.col("refunds_usd"), 2),
-            }
-        )
+        rows.withColumns({**_medians(), "net_revenue_usd": net})
         .join(unique_dimension(zones), "location_id", "left")
         .select(*by, *CURATED)
     )
 
 
+def _grouped(rows: DataFrame, keys: Sequence[str], by: Sequence[str]) -> list[DataFrame]:
+    """``_measured`` rows with middle values, to be added up per group: those of groups that one task
+    holds, dealt by group, and those of groups that are spread."""
+    few, many = _by_size(rows, by)
+    few = few.repartition(DEALT, *keys)
+    spread = many.unionByName(_spread_middles(many, keys), allowMissingColumns=True)
+    return [_ranked_middles(few, keys), spread]
+
+
 def zone_day(
     trips: DataFrame,
     zones: DataFrame,
@@ -297,9 +315,7 @@ def zone_day(
     keys = [*by, *GROUP]
     rows = _measured(_keyed(flag_rows(trips, rules), rules), rules, keys)
     if medians:
-        few, many = _by_size(rows, keys)
-        spread = many.unionByName(_spread_middles(many, keys), allowMissingColumns=True)
-        near, far = _table_stats(_ranked_middles(few, keys), keys), _table_stats(spread, keys)
+        near, far = (_table_stats(part, keys) for part in _grouped(rows, keys, by))
         stats = near.unionByName(far)
     else:
         stats = _table_stats(rows, keys)
@@ -308,6 +324,27 @@ def zone_day(
     return curated_rows(stats.join(others, same, "left"), None, zones, by)
 
 
+def day_medians(
+    trips: DataFrame,
+    zones: DataFrame,
+    rules: Sequence[Rule],
+    by: Sequence[str] = ("source_month",),
+) -> DataFrame:
+    """Day, zone and medians of the published table, for reports without sums: less of each row is
+    moved, and no values are looked for that are no cents."""
+    keys = [*by, *GROUP]
+    rows = _measured(_keyed(flag_rows(trips, rules), rules), rules, keys)
+    near, far = (
+        part.groupBy(*keys)
+        .agg(F.count("_reversed").alias("_kept"), *[F.max(m).alias(m) for m in MIDDLES])
+        .where("_kept > 0")
+        for part in _grouped(rows, keys, by)
+    )
+    columns = ["date", "location_id", "borough", "zone", "service_zone", *_medians()]
+    named = near.unionByName(far).withColumns(_medians()).join(unique_dimension(zones), "location_id", "left")
+    return named.select(*by, *columns)
+
+
 def zone_trips(
     trips: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ("source_month",)
 ) -> DataFrame:

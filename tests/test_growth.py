@@ -51,3 +51,25 @@ def test_only_the_trips_of_shown_zones_are_read_on(spark, sf_dir):
     """mean_vs_median moves the trips of at most twelve zones a month for sums and medians."""
     frame = catalog.mean_vs_median(spark, sf_dir)
     assert "LeftSemi" in plan_of(frame) and "_location_id" in plan_of(frame)
+
+
+def test_medians_by_themselves_are_those_of_the_table(monkeypatch, town, zones):
+    own = rules.default_rules()
+    for crowded in (0, 6, 1 << 18):  # all groups spread, some of them, none
+        monkeypatch.setattr(daily, "CROWDED", crowded)
+        alone = daily.day_medians(town, zones, own)
+        assert lines(alone) == lines(daily.zone_day(town, zones, own).select(*alone.columns))
+
+
+def test_groups_are_sorted_by_a_digest_first(spark, town, zones, tmp_path):
+    """A month tells few groups apart; sorting then compares whole rows."""
+    town.write.parquet(str(tmp_path / "t"))
+    plan = plan_of(daily.day_medians(spark.read.parquet(str(tmp_path / "t")), zones, rules.default_rules()))
+    assert plan.count("Sort [_digest#") == 2
+
+
+def test_crowded_groups_are_counted_without_the_rules(town):
+    counted = daily._by_size(daily._keyed(rules.flag_rows(town, rules.default_rules()), rules.default_rules()), ["source_month"])[1]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate [_bucket"):]
+    assert "trip_distance#" not in below.splitlines()[1] and "reject_reason" not in below
