@@ -292,11 +292,13 @@ def curated_rows(
     )
 
 
-def _grouped(rows: DataFrame, keys: Sequence[str], by: Sequence[str]) -> list[DataFrame]:
-    """``_measured`` rows with middle values, to be added up per group: those of groups that one task
-    holds, dealt by group, and those of groups that are spread."""
+def _grouped(rows: DataFrame, keys: Sequence[str], by: Sequence[str], medians: bool) -> list[DataFrame]:
+    """``_measured`` rows to be added up per group, if wanted with middle values: those of groups that
+    one task holds, dealt by group, and those of groups that are spread."""
     few, many = _by_size(rows, by)
     few = few.repartition(DEALT, *keys)
+    if not medians:
+        return [few, many]
     spread = many.unionByName(_spread_middles(many, keys), allowMissingColumns=True)
     return [_ranked_middles(few, keys), spread]
 
@@ -314,14 +316,10 @@ def zone_day(
     """
     keys = [*by, *GROUP]
     rows = _measured(_keyed(flag_rows(trips, rules), rules), rules, keys)
-    if medians:
-        near, far = (_table_stats(part, keys) for part in _grouped(rows, keys, by))
-        stats = near.unionByName(far)
-    else:
-        stats = _table_stats(rows, keys)
+    near, far = (_table_stats(part, keys) for part in _grouped(rows, keys, by, medians))
     others = _other_sums(rows, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return curated_rows(stats.join(others, same, "left"), None, zones, by)
+    return curated_rows(near.unionByName(far).join(others, same, "left"), None, zones, by)
 
 
 def day_medians(
@@ -338,7 +336,7 @@ def day_medians(
         part.groupBy(*keys)
         .agg(F.count("_reversed").alias("_kept"), *[F.max(m).alias(m) for m in MIDDLES])
         .where("_kept > 0")
-        for part in _grouped(rows, keys, by)
+        for part in _grouped(rows, keys, by, True)
     )
     columns = ["date", "location_id", "borough", "zone", "service_zone", *_medians()]
     named = near.unionByName(far).withColumns(_medians()).join(unique_dimension(zones), "location_id", "left")

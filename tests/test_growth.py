@@ -61,6 +61,23 @@ def test_medians_by_themselves_are_those_of_the_table(monkeypatch, town, zones):
         assert lines(alone) == lines(daily.zone_day(town, zones, own).select(*alone.columns))
 
 
+def test_a_task_holds_its_share_of_groups_on_any_cluster(monkeypatch, spark, town, zones, tmp_path):
+    """Rows of small groups are dealt to a number of partitions that is no setting of the cluster, and
+    no task adds up groups before that; tables with and without medians agree."""
+    monkeypatch.setattr(daily, "DEALT", 13)
+    town.write.parquet(str(tmp_path / "t"))
+    stored, own = spark.read.parquet(str(tmp_path / "t")), rules.default_rules()
+    plain = daily.zone_day(stored, zones, own, medians=False)
+    for frame in (plain, daily.zone_day(stored, zones, own), daily.day_medians(stored, zones, own)):
+        dealt = [x for x in plan_of(frame).splitlines() if "Exchange hashpartitioning(source_month" in x]
+        assert len(dealt) == 1 and ", 13), REPARTITION_BY_NUM" in dealt[0]
+    shared = [c for c in plain.columns if not c.startswith("median_")]
+    whole = lines(plain)
+    assert lines(plain.select(*shared)) == lines(daily.zone_day(stored, zones, own).select(*shared))
+    monkeypatch.setattr(daily, "CROWDED", 0)  # all groups spread
+    assert lines(daily.zone_day(stored, zones, own, medians=False)) == whole
+
+
 def test_groups_are_sorted_by_a_digest_first(spark, town, zones, tmp_path):
     """A month tells few groups apart; sorting then compares whole rows."""
     town.write.parquet(str(tmp_path / "t"))
